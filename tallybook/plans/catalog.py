@@ -48,9 +48,12 @@ class Tables:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = configure(spark)
         self.sf_dir = sf_dir
+        self._frames: dict[str, DataFrame] = {}
 
     def read(self, name: str) -> DataFrame:
-        return feeds.read_table(self.spark, self.sf_dir, name)
+        if name not in self._frames:
+            self._frames[name] = feeds.read_table(self.spark, self.sf_dir, name)
+        return self._frames[name]
 
     @property
     def core(self) -> DataFrame:

@@ -56,22 +56,3 @@ TELEGRAMS = T.StructType([
     T.StructField("DateOut", T.TimestampType()),
     T.StructField("Body", T.StringType()),
 ])
-
-# Change messages carry times as text; anything unparseable becomes null later on.
-TELEGRAM_IMAGE = T.StructType([
-    T.StructField("Id", T.IntegerType()),
-    T.StructField("TelegramCode", T.IntegerType()),
-    T.StructField("Source", T.IntegerType()),
-    T.StructField("Destination", T.IntegerType()),
-    T.StructField("DateIn", T.StringType()),
-    T.StructField("DateOut", T.StringType()),
-    T.StructField("Body", T.StringType()),
-])
-
-CHANGE_MESSAGE = T.StructType([
-    T.StructField("payload", T.StructType([
-        T.StructField("before", TELEGRAM_IMAGE),
-        T.StructField("after", TELEGRAM_IMAGE),
-        T.StructField("op", T.StringType()),
-    ])),
-])

@@ -38,7 +38,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _plus_seconds(ts: Column, seconds: Column) -> Column:
-    return ts + F.make_dt_interval(secs=seconds)
+    return ts + F.expr("interval '1' second") * seconds
 
 
 def _pick(index: Column, words: list[str]) -> Column:
@@ -49,28 +49,34 @@ def _replace(value: Column, words: dict[str, str]) -> Column:
     return F.coalesce(*[F.when(value == old, F.lit(new)) for old, new in words.items()], value)
 
 
-def primary_feed(orders: DataFrame) -> DataFrame:
-    """The core banking feed: one transaction per order."""
+def _feed(orders: DataFrame) -> DataFrame:
+    """The core feed with the order key ``k``."""
     k = F.col("o_orderkey")
     when = _plus_seconds(F.col("o_orderdate"), (k * 7919) % 86400)
     status = (F.when(F.col("o_orderstatus") == "F", "completed")
               .when(F.col("o_orderstatus") == "O", "pending")
               .when(F.col("o_orderstatus") == "P", "failed").otherwise("reversed"))
     return orders.select(
-        F.concat(F.lit("CB-"), k.cast("string")).alias("transaction_id"),
+        F.concat(F.lit("CB-"), k).alias("transaction_id"),
         F.lit(PRIMARY).alias("source_system"),
         when.alias("transaction_date"),
         F.col("o_totalprice").cast(MONEY).alias("amount"),
-        F.concat(F.lit("ACC"), F.col("o_custkey").cast("string")).alias("account_id"),
+        F.concat(F.lit("ACC"), F.col("o_custkey")).alias("account_id"),
         _pick(k % 6, TYPES).alias("transaction_type"),
-        F.concat(F.lit("REF-"), k.cast("string")).alias("reference_id"),
+        F.concat(F.lit("REF-"), k).alias("reference_id"),
         status.alias("status"),
         F.concat(F.lit('{"category":"'), F.col("o_orderpriority"), F.lit('"}')).alias("payload"),
         _plus_seconds(when, -(k % 60 + 1) * 60).alias("created_at"),
         _plus_seconds(when, k % 30 + 1).alias("processing_timestamp"),
+        k.alias("k"),
     )
 
 
+def primary_feed(orders: DataFrame) -> DataFrame:
+    """The core banking feed: one transaction per order."""
+    return _feed(orders).drop("k")
+
+
 def _times(amount: Column, factor: str) -> Column:
     return F.round(amount * F.lit(Decimal(factor)).cast("decimal(4,3)"), 2).cast(MONEY)
 
@@ -79,19 +85,14 @@ def secondary_feed(orders: DataFrame, system: str = "card_processor",
                    raw: bool = False) -> DataFrame:
     """A second system's view of the same transactions, with injected discrepancies, plus
     transactions that only this system has. ``raw`` keeps the system's own vocabulary."""
-    key = F.substring_index("transaction_id", "-", -1).cast("long")
-    bucket = (key * BUCKET_FACTOR[system]) % 100
     prefix, extra_prefix = ID_PREFIXES[system]
-    # One pass: a key yields its copy (unless bucket 0) and sometimes an extra row.
-    rows = (
-        primary_feed(orders)
-        .withColumn("k", key).withColumn("b", bucket)
-        .withColumn("extra", F.explode(F.filter(
-            F.array(F.when(F.col("b") != 0, F.lit(False)),
-                    F.when(F.col("k") % 50 == 7, F.lit(True))),
-            lambda kind: kind.isNotNull())))
-    )
     b, extra, k = F.col("b"), F.col("extra"), F.col("k").cast("string")
+    # One pass: a key yields its copy (unless bucket 0) and sometimes an extra row.
+    has_copy, has_extra = b != 0, F.col("k") % 50 == 7
+    rows = _feed(orders).withColumn("b", (F.col("k") * BUCKET_FACTOR[system]) % 100).withColumn(
+        "extra", F.explode(
+            F.when(has_copy & has_extra, F.array(F.lit(False), F.lit(True)))
+            .when(has_copy, F.array(F.lit(False))).when(has_extra, F.array(F.lit(True)))))
     regular = ~extra
     shift = (F.when(regular & (b == 4), F.lit(3600))
              .when(regular & b.isin(5, 6), F.lit(3 * 86400)).otherwise(F.lit(0)))
@@ -200,8 +201,8 @@ def change_messages(events: DataFrame) -> DataFrame:
 def status_history(orders: DataFrame) -> DataFrame:
     """Row versions of the core feed: (transaction_id, commit_ts, seq, op, columns). Every row is
     inserted as pending, some are settled a day later, and some are deleted after ten days."""
-    k, seq = F.substring_index("transaction_id", "-", -1).cast("long"), F.col("seq")
-    rows = primary_feed(orders).select(
+    k, seq = F.col("k"), F.col("seq")
+    rows = _feed(orders).select(
         "transaction_id", "transaction_date", "account_id", "amount", "status",
         _which((1, None), (2, k % 3 == 0), (3, k % 11 == 0)).alias("seq"))
     days = F.when(seq == 1, 0).when(seq == 2, 1).otherwise(10)
