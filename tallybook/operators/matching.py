@@ -31,6 +31,7 @@ STRATEGIES = {"exact": (True, False), "fuzzy": (False, True), "hybrid": (True, T
 NULL_SPREAD = 4096
 NARROW = ["account_id", "transaction_type", "amount", "status", "transaction_id",
           "transaction_date"]
+SIDE = ["transaction_id", "amount", "transaction_date", "status"]
 MATCH_COLUMNS = [
     "primary_transaction_id", "secondary_transaction_id", "account_id", "primary_amount",
     "secondary_amount", "transaction_type", "primary_transaction_date",
@@ -147,70 +148,90 @@ def _one_exchange(part: Part, by: list[str], exact: bool, fuzzy: bool,
         of(~is_p, "status", "status").alias("secondary_status"))
 
 
-def _cut_up(part: Part, by: list[str], exact: bool, fuzzy: bool,
-            settings: Settings) -> DataFrame:
-    """Hot groups: joins on the exact key, and the cell-wise nearest search for the rest."""
-    def sided(df: DataFrame, name: str) -> DataFrame:
-        return df.select(*by, *GROUP, *[
-            F.col(c).alias(f"{name}_{c}")
-            for c in ("transaction_id", "amount", "transaction_date", "status")])
-
-    def absent(df: DataFrame, name: str, like: DataFrame) -> DataFrame:
-        types = like.schema
-        return df.withColumns({
-            f"{name}_{c}": F.lit(None).cast(types[c].dataType)
-            for c in ("transaction_id", "amount", "transaction_date", "status")})
+def _sided(df: DataFrame, name: str, by: list[str]) -> DataFrame:
+    return df.select(*by, *GROUP, *[F.col(c).alias(f"{name}_{c}") for c in SIDE])
+
 
+def _alone(df: DataFrame, name: str, other: str, by: list[str]) -> DataFrame:
+    """Rows without a partner, in the outcome layout."""
+    types = df.schema
+    return _sided(df, name, by).withColumns({
+        "outcome": F.lit(f"{name.upper()}_ONLY"),
+        **{f"{other}_{c}": F.lit(None).cast(types[c].dataType) for c in SIDE},
+    })
+
+
+def _exact_by_join(part: Part, by: list[str]) -> tuple[DataFrame, Part]:
+    """Exact pairs, and what is left of both sides."""
+    keys = [*by, *EXACT]
     left, right = part.primary.select(*by, *NARROW), part.secondary.select(*by, *NARROW)
-    found = []
+
+    def named(df: DataFrame, name: str) -> DataFrame:
+        return df.select(*keys, *[F.col(c).alias(f"{name}_{c}")
+                                  for c in ("transaction_id", "transaction_date")])
+
+    pairs = named(left, "primary").join(named(right, "secondary"), keys).withColumn(
+        "outcome", F.lit("PAIR"))
+    for name in ("primary", "secondary"):
+        pairs = pairs.withColumns({f"{name}_amount": F.col("amount"),
+                                   f"{name}_status": F.col("status")})
+    return pairs.drop("amount", "status"), Part(
+        left.join(thin_keys(right, keys, "transaction_id"), keys, "left_anti"),
+        right.join(thin_keys(left, keys, "transaction_id"), keys, "left_anti"), hot=True)
+
+
+def _fuzzy_by_cells(part: Part, by: list[str], settings: Settings) -> DataFrame:
+    """Best partners of all rows, by the cell-wise nearest search."""
+    keys = [*by, *GROUP]
+
+    def places(df: DataFrame, name: str) -> list[Column]:
+        return [*keys, F.col("amount").alias(f"{name}_amount"),
+                epoch_seconds(F.col("transaction_date")).alias(f"{name}_sec")]
+
+    def usable(df: DataFrame) -> DataFrame:
+        return df.filter("amount >= 0").dropna(subset=[*GROUP, "transaction_date"])
+
+    p_places = usable(part.primary).select(*places(part.primary, "p")).distinct()
+    s_places = usable(part.secondary).groupBy(*places(part.secondary, "s")).agg(
+        F.min(F.struct(F.col("transaction_id").alias("id"),
+                       F.col("transaction_date").alias("date"),
+                       F.col("status").alias("status"))).alias("pick"))
+    best = durable(best_partners(
+        p_places, s_places, keys, settings.amount_tolerance, settings.date_tolerance_seconds,
+        settings).filter("partner is not null"))
+    o = F.col("partner")
+    rows = _sided(part.primary, "primary", by).withColumns({
+        "p_amount": F.col("primary_amount"),
+        "p_sec": epoch_seconds(F.col("primary_transaction_date")),
+    }).join(best, [*keys, "p_amount", "p_sec"], "left").withColumns({
+        "outcome": F.when(o.isNotNull(), "PAIR").otherwise("PRIMARY_ONLY"),
+        "secondary_transaction_id": o["pick"]["id"], "secondary_amount": o["amount"],
+        "secondary_transaction_date": o["pick"]["date"],
+        "secondary_status": o["pick"]["status"],
+    }).drop("p_amount", "p_sec", "partner")
+    used = best.select(*by, o["pick"]["id"].alias("transaction_id")).distinct()
+    rest = part.secondary.join(used, [*by, "transaction_id"], "left_anti")
+    return rows.unionByName(_alone(rest, "secondary", "primary", by))
+
+
+def _cut_up(part: Part, by: list[str], exact: bool, fuzzy: bool,
+            settings: Settings) -> DataFrame:
+    """Hot groups: joins on the exact key; of the rest, groups that now fit a task are matched
+    as usual, and the others by cells."""
+    found, rest = [], part
     if exact:
-        keys = [*by, *EXACT]
-        p, s = left, right
-        pairs = p.select(*keys, *[F.col(c).alias(f"primary_{c}") for c in
-                                  ("transaction_id", "transaction_date")]).join(
-            s.select(*keys, *[F.col(c).alias(f"secondary_{c}") for c in
-                              ("transaction_id", "transaction_date")]), keys)
-        found.append(pairs.select(
-            *by, F.lit("PAIR").alias("outcome"), *GROUP, "primary_transaction_id",
-            F.col("amount").alias("primary_amount"), "primary_transaction_date",
-            F.col("status").alias("primary_status"), "secondary_transaction_id",
-            F.col("amount").alias("secondary_amount"), "secondary_transaction_date",
-            F.col("status").alias("secondary_status")))
-        left = p.join(thin_keys(s, keys, "transaction_id"), keys, "left_anti")
-        right = s.join(thin_keys(p, keys, "transaction_id"), keys, "left_anti")
-    if fuzzy:
-        left, right = durable(left), durable(right)
-        keys = [*by, *GROUP]
-        p_places = (left.filter("amount >= 0").dropna(subset=[*GROUP, "transaction_date"])
-                    .select(*keys, F.col("amount").alias("p_amount"),
-                            epoch_seconds(F.col("transaction_date")).alias("p_sec")).distinct())
-        s_places = (right.filter("amount >= 0").dropna(subset=[*GROUP, "transaction_date"])
-                    .groupBy(*keys, F.col("amount").alias("s_amount"),
-                             epoch_seconds(F.col("transaction_date")).alias("s_sec"))
-                    .agg(F.min(F.struct(F.col("transaction_id").alias("id"),
-                                        F.col("transaction_date").alias("date"),
-                                        F.col("status").alias("status"))).alias("pick")))
-        best = best_partners(p_places, s_places, keys, settings.amount_tolerance,
-                             settings.date_tolerance_seconds, settings)
-        best = durable(best.filter("partner is not null"))
-        rows = sided(left, "primary").withColumn("p_amount", F.col("primary_amount")).withColumn(
-            "p_sec", epoch_seconds(F.col("primary_transaction_date"))
-        ).join(best, [*keys, "p_amount", "p_sec"], "left")
-        o = F.col("partner")
-        found.append(rows.select(
-            *by, F.when(o.isNotNull(), "PAIR").otherwise("PRIMARY_ONLY").alias("outcome"), *GROUP,
-            "primary_transaction_id", "primary_amount", "primary_transaction_date",
-            "primary_status", o["pick"]["id"].alias("secondary_transaction_id"),
-            o["amount"].alias("secondary_amount"),
-            o["pick"]["date"].alias("secondary_transaction_date"),
-            o["pick"]["status"].alias("secondary_status")))
-        used = best.select(*by, o["pick"]["id"].alias("transaction_id")).distinct()
-        right = right.join(used, [*by, "transaction_id"], "left_anti")
-    else:
-        found.append(absent(sided(left, "primary"), "secondary", left)
-                     .withColumn("outcome", F.lit("PRIMARY_ONLY")))
-    found.append(absent(sided(right, "secondary"), "primary", right)
-                 .withColumn("outcome", F.lit("SECONDARY_ONLY")))
+        pairs, rest = _exact_by_join(part, by)
+        found.append(pairs)
+    if not fuzzy:
+        return reduce(DataFrame.unionByName, [
+            *found, _alone(rest.primary, "primary", "secondary", by),
+            _alone(rest.secondary, "secondary", "primary", by)])
+    rest = Part(durable(rest.primary.select(*by, *NARROW)),
+                durable(rest.secondary.select(*by, *NARROW)), hot=True)
+    parts = split_hot(rest.primary, rest.secondary, GROUP, settings) if exact else [rest]
+    for piece in parts:
+        found.append(_fuzzy_by_cells(piece, by, settings) if piece.hot
+                     else _one_exchange(piece, by, False, True, settings))
     return reduce(DataFrame.unionByName, found)
 
 

@@ -1,0 +1,133 @@
+"""Small hand-made and random feeds, and brute-force matchers to compare with."""
+
+from __future__ import annotations
+
+import random
+from datetime import datetime, timedelta
+from decimal import Decimal
+
+COLUMNS = ("transaction_id string, account_id string, transaction_type string, "
+           "amount decimal(18,2), status string, transaction_date timestamp, "
+           "reference_id string, source_system string")
+T0 = datetime(2024, 3, 1, 12)
+
+
+def row(ident, account="A", kind="payment", amount="100.00", status="completed", at=T0,
+        reference="R", source="core_banking"):
+    value = None if amount is None else Decimal(amount)
+    return (ident, account, kind, value, status, at, reference, source)
+
+
+def frame(spark, rows):
+    return spark.createDataFrame(rows, COLUMNS)
+
+
+def edge_rows():
+    """Zero and negative amounts, nulls, repeated keys, shared best partners, equal scores, and
+    differences exactly at the edge of a band."""
+    hour, day = timedelta(hours=1), timedelta(days=1)
+    p = [
+        row("p-zero", "Z", amount="0.00"), row("p-neg", "N", amount="-50.00"),
+        row("p-nullstatus", "S", status=None), row("p-nullamount", "M", amount=None),
+        row("p-nullaccount", None), row("p-dup1", "D"), row("p-dup2", "D"),
+        row("p-share1", "H", amount="200.00"), row("p-share2", "H", amount="200.50"),
+        row("p-tie", "T", amount="300.00"), row("p-edge", "E", amount="1000.00"),
+        row("p-over", "O", amount="1000.00"), row("p-day", "Y"), row("p-late", "L"),
+        row("p-nulldate", "U", at=None, status="failed"), row("p-nulltype", "K", kind=None),
+        row("p-frac", "F", at=T0 + timedelta(microseconds=900000), status="failed"),
+        row("p-negsame", "N2", amount="-5.00"),
+    ]
+    s = [
+        row("s-zero", "Z", amount="0.00", status="pending"), row("s-neg", "N", amount="-50.10"),
+        row("s-nullstatus", "S", status=None), row("s-nullamount", "M", amount=None),
+        row("s-nullaccount", None), row("s-dup1", "D", at=T0 + 3 * day),
+        row("s-dup2", "D", at=T0 + 9 * day), row("s-dup3", "D"),
+        row("s-share", "H", amount="200.20"),
+        row("s-tie-b", "T", status="failed", amount="300.00"),
+        row("s-tie-a", "T", status="pending", amount="300.00"),
+        row("s-edge", "E", amount="1010.00"), row("s-over", "O", amount="1010.01"),
+        row("s-day", "Y", amount="100.50", at=T0 + day),
+        row("s-late", "L", amount="100.50", at=T0 + day + timedelta(seconds=1)),
+        row("s-nulldate", "U", at=None), row("s-nulltype", "K", kind=None),
+        row("s-frac", "F", at=T0 + day + timedelta(microseconds=100000)),
+        row("s-negsame", "N2", amount="-5.00", at=T0 + hour),
+    ]
+    return p, s
+
+
+def random_rows(seed, n, accounts, hot_share=0.34):
+    """Feeds in which one account and type holds a third of all rows, amounts cluster and times
+    repeat, so that there are many equal keys, places and scores."""
+    rng = random.Random(seed)
+
+    def make(prefix, i):
+        hot = rng.random() < hot_share
+        account = "HOT" if hot else f"ACC{rng.randrange(accounts)}"
+        base = rng.choice([0, 10, 99, 100, 101, 100.5, 5000, 5020])
+        amount = f"{base + rng.choice([0, 0, 0.25, 0.5, 1, 30]):.2f}"
+        at = T0 + timedelta(seconds=rng.choice([0, 0, 1, 30, 600, 7200, 86400, 90000, 260000])
+                            + rng.choice([0, 0, 5, 61]))
+        return row(f"{prefix}{i:04d}", account, "payment" if hot else
+                   rng.choice(["payment", "fee"]), amount,
+                   rng.choice(["completed", "pending", "failed", None]), at,
+                   reference=f"REF{rng.randrange(n)}",
+                   source="core_banking" if prefix == "p" else "card_processor")
+
+    return [make("p", i) for i in range(n)], [make("s", i) for i in range(n)]
+
+
+def _equal(a, b):
+    return a is not None and b is not None and a == b
+
+
+def same_key(p, s):
+    return all(_equal(p[i], s[i]) for i in (1, 2, 3, 4))
+
+
+def seconds(p, s):
+    return abs(int(p[5].replace(microsecond=0).timestamp())
+               - int(s[5].replace(microsecond=0).timestamp()))
+
+
+def near(p, s, tolerance=Decimal("0.01"), limit=86400):
+    return (_equal(p[1], s[1]) and _equal(p[2], s[2]) and p[3] is not None and s[3] is not None
+            and p[5] is not None and s[5] is not None
+            and abs(p[3] - s[3]) <= p[3] * tolerance and seconds(p, s) <= limit)
+
+
+def score(p, s):
+    ratio = 0.0 if p[3] == s[3] else float(abs(p[3] - s[3])) / float(p[3])
+    return 1.0 - 0.5 * ratio - 0.5 * (float(seconds(p, s)) / 86400.0)
+
+
+def brute_force(ps, ss, exact, fuzzy):
+    """(primary id, secondary id) of all outcomes; None where a side is missing."""
+    out, left, right = [], list(ps), list(ss)
+    if exact:
+        pairs = [(p, s) for p in ps for s in ss if same_key(p, s)]
+        out += [(p[0], s[0]) for p, s in pairs]
+        hit_p, hit_s = {p[0] for p, _ in pairs}, {s[0] for _, s in pairs}
+        left = [p for p in ps if p[0] not in hit_p]
+        right = [s for s in ss if s[0] not in hit_s]
+    used = set()
+    for p in left:
+        options = [s for s in right if near(p, s)] if fuzzy else []
+        if options:
+            best = min(options, key=lambda s: (-score(p, s), s[0]))
+            out.append((p[0], best[0]))
+            used.add(best[0])
+        else:
+            out.append((p[0], None))
+    out += [(None, s[0]) for s in right if s[0] not in used]
+    return sorted(out, key=str)
+
+
+def greedy(ps, ss, tolerance=Decimal("1.00")):
+    free, pairs = sorted(ss, key=lambda s: s[0]), []
+    for p in sorted(ps, key=lambda p: p[0]):
+        for s in free:
+            if _equal(p[1], s[1]) and None not in (p[3], s[3]) and abs(p[3] - s[3]) <= tolerance:
+                pairs.append((p[0], s[0]))
+                free.remove(s)
+                break
+    return sorted(pairs)
