@@ -239,6 +239,45 @@ CDC_REJECTED = f"""{TELE} SELECT CAST(Id AS BIGINT) * 10 + n AS "offset", reason
   (VALUES (2, 'no after image', 50, 9), (3, 'not json', 200, 11), (4, 'empty', 200, 12),
           (5, 'no payload', 200, 13), (6, 'no id', 200, 14)) AS v(n, reason, m, r)
   WHERE Id % m = r"""
+# One primary after the other, per account, with the secondaries taken so far.
+GREEDY = f"""WITH RECURSIVE {CORE},{CARD},
+options AS (
+  SELECT p.account_id, p.transaction_id AS pid,
+         row_number() OVER (PARTITION BY p.account_id ORDER BY p.transaction_id) AS turn,
+         list(s.transaction_id ORDER BY s.transaction_id)
+           FILTER (s.transaction_id IS NOT NULL) AS choices
+  FROM core p LEFT JOIN card s ON p.account_id = s.account_id
+       AND abs(p.amount - s.amount) <= 1.00
+  GROUP BY p.account_id, p.transaction_id),
+walk AS (
+  SELECT DISTINCT account_id, CAST(0 AS BIGINT) AS turn, CAST([] AS VARCHAR[]) AS taken,
+         CAST(NULL AS VARCHAR) AS pid, CAST(NULL AS VARCHAR) AS sid FROM options
+  UNION ALL
+  SELECT account_id, turn, CASE WHEN sid IS NULL THEN taken ELSE list_append(taken, sid) END,
+         pid, sid
+  FROM (SELECT w.account_id, o.turn, w.taken, o.pid,
+               [x for x in o.choices if NOT list_contains(w.taken, x)][1] AS sid
+        FROM walk w JOIN options o ON o.account_id = w.account_id AND o.turn = w.turn + 1)),
+pairs AS (SELECT pid, sid FROM walk WHERE sid IS NOT NULL),
+sides AS (
+  SELECT 'PAIR' AS outcome, {SIDES}
+  FROM pairs JOIN core p ON p.transaction_id = pid JOIN card s ON s.transaction_id = sid
+  UNION ALL
+  SELECT 'PRIMARY_ONLY', transaction_id, NULL, account_id, amount, NULL, transaction_type,
+         transaction_date, NULL, status, NULL FROM core
+  WHERE transaction_id NOT IN (SELECT pid FROM pairs)
+  UNION ALL
+  SELECT 'SECONDARY_ONLY', NULL, transaction_id, account_id, NULL, amount, transaction_type,
+         NULL, transaction_date, NULL, status FROM card
+  WHERE transaction_id NOT IN (SELECT sid FROM pairs))
+SELECT * EXCLUDE (match_status, discrepancy_type, discrepancy_amount),
+  CASE WHEN outcome = 'PAIR' THEN match_status ELSE 'UNMATCHED' END AS match_status,
+  CASE outcome WHEN 'PRIMARY_ONLY' THEN 'MISSING_SECONDARY'
+       WHEN 'SECONDARY_ONLY' THEN 'MISSING_PRIMARY' ELSE discrepancy_type END
+    AS discrepancy_type,
+  CASE outcome WHEN 'PRIMARY_ONLY' THEN primary_amount WHEN 'SECONDARY_ONLY'
+       THEN secondary_amount ELSE discrepancy_amount END AS discrepancy_amount
+FROM (SELECT *, {CLASSES} FROM sides)"""
 LO, HI = "TIMESTAMP '1996-03-01 00:00:00'", "TIMESTAMP '1998-09-30 12:00:00'"
 CUT, AS_OF = "TIMESTAMP '1999-01-01 00:00:00'", "TIMESTAMP '1998-06-15 00:00:00'"
 STANDARD_STATUS = """CASE
@@ -319,6 +358,7 @@ SQL: dict[str, str] = {
         f"{PAIR_GATE},{_hybrid('h', 'core', 'gate')} SELECT * FROM h_pairs",
     "recon_results": f"{RECON} SELECT * EXCLUDE (reconciliation_timestamp) FROM h_results",
     "multi_source_results": f"{STAR} SELECT * FROM results",
+    "greedy_one_to_one": GREEDY,
     "rule_exact": f"{PAIR} SELECT {RULE_IDS} FROM core p JOIN card s ON {SAME}",
     "rule_amount": f"""{PAIR} SELECT {RULE_IDS}, {TYPE_AMOUNT} AS discrepancy_type,
         CASE WHEN p.amount <> s.amount THEN CAST(abs(p.amount - s.amount) AS DECIMAL(18,2)) END
