@@ -28,7 +28,6 @@ from tallybook.settings import DEFAULTS, Settings
 # What a strategy consists of (exact phase, fuzzy phase).
 STRATEGIES = {"exact": (True, False), "fuzzy": (False, True), "hybrid": (True, True)}
 
-NULL_SPREAD = 4096
 NARROW = ["account_id", "transaction_type", "amount", "status", "transaction_id",
           "transaction_date"]
 SIDE = ["transaction_id", "amount", "transaction_date", "status"]
@@ -77,25 +76,25 @@ def _partner(ident: Column, date: Column, amount: Column, status: Column) -> Col
 def _one_exchange(part: Part, by: list[str], exact: bool, fuzzy: bool,
                   settings: Settings) -> DataFrame:
     """All phases over one exchange on (account, type): the windows below share it."""
-    # Rows that can never match (a null key) get a group of their own each, so that a
-    # feed full of nulls does not end up in one task.
+    # Rows that can never match (a null key) get groups of their own, so that a feed full of
+    # nulls does not end up in one task.
     matchable = (F.col("account_id").isNotNull() & F.col("transaction_type").isNotNull()
                  & F.col("amount").isNotNull())
-    spread = F.when(matchable, F.lit(0)).otherwise(
-        1 + F.pmod(F.hash("transaction_id"), F.lit(NULL_SPREAD)))
+    spread = F.when(F.col("matchable"), F.lit(0)).otherwise(F.xxhash64(*NARROW))
 
     def tagged(df: DataFrame, is_primary: bool) -> DataFrame:
         return df.select(*by, *NARROW, F.lit(is_primary).alias("is_primary"))
 
     group = [*by, *GROUP, "spread"]
     rows = (tagged(part.primary, True).unionByName(tagged(part.secondary, False))
-            .withColumn("spread", spread).repartition(*group))
+            .withColumn("matchable", matchable).withColumn("spread", spread)
+            .repartition(*group))
     is_p = F.col("is_primary")
     me = _partner(*[F.col(c) for c in ("transaction_id", "transaction_date", "amount", "status")])
     paired = F.lit(False)
     if exact:
         key = Window.partitionBy(*group, "amount", "status")
-        usable = (F.col("spread") == 0) & F.col("status").isNotNull()
+        usable = F.col("matchable") & F.col("status").isNotNull()
         rows = rows.withColumns({
             "twins": F.collect_list(F.when(~is_p & usable, me)).over(key),
             "twin_primaries": F.count(F.when(is_p & usable, 1)).over(key),
@@ -108,7 +107,7 @@ def _one_exchange(part: Part, by: list[str], exact: bool, fuzzy: bool,
     nobody = F.array(F.lit(None).cast(rows.select(me.alias("m")).schema["m"].dataType))
     if fuzzy:
         whole = Window.partitionBy(*group)
-        free = ~paired & (F.col("spread") == 0)
+        free = ~paired & F.col("matchable")
         rows = rows.withColumn("pool", F.collect_list(F.when(~is_p & free, me)).over(whole))
 
         def near(other: Column) -> Column:
@@ -184,18 +183,19 @@ def _fuzzy_by_cells(part: Part, by: list[str], settings: Settings) -> DataFrame:
     """Best partners of all rows, by the cell-wise nearest search."""
     keys = [*by, *GROUP]
 
-    def places(df: DataFrame, name: str) -> list[Column]:
+    def places(name: str) -> list[Column]:
         return [*keys, F.col("amount").alias(f"{name}_amount"),
                 epoch_seconds(F.col("transaction_date")).alias(f"{name}_sec")]
 
     def usable(df: DataFrame) -> DataFrame:
         return df.filter("amount >= 0").dropna(subset=[*GROUP, "transaction_date"])
 
-    p_places = usable(part.primary).select(*places(part.primary, "p")).distinct()
-    s_places = usable(part.secondary).groupBy(*places(part.secondary, "s")).agg(
+    p_places = usable(part.primary).select(*places("p")).distinct()
+    # Every round of the search reads these.
+    s_places = durable(usable(part.secondary).groupBy(*places("s")).agg(
         F.min(F.struct(F.col("transaction_id").alias("id"),
                        F.col("transaction_date").alias("date"),
-                       F.col("status").alias("status"))).alias("pick"))
+                       F.col("status").alias("status"))).alias("pick")))
     best = durable(best_partners(
         p_places, s_places, keys, settings.amount_tolerance, settings.date_tolerance_seconds,
         settings).filter("partner is not null"))
