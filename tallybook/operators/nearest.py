@@ -64,5 +64,7 @@ def best_partners(primary_places: DataFrame, secondary_places: DataFrame, keys:
         step = durable(nearest.withColumn("settled", settled))
         found.append(step.filter("settled").drop("settled"))
         remaining = step.filter("not settled").select(*place)
+        if remaining.isEmpty():
+            break
     return reduce(DataFrame.unionByName, found)
 

@@ -6,13 +6,9 @@ injected by arithmetic on the key, so that any engine derives the same rows.
 
 from __future__ import annotations
 
-from decimal import Decimal
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybook.schemas import MONEY
-
 PRIMARY = "core_banking"
 
 # Id prefixes of the source systems (regular rows, rows only they have).
@@ -32,6 +28,10 @@ RAW_STATUS = {
 }
 RAW_TYPE = {"payment_gateway": {"payment": "charge", "refund": "credit"}}
 
+TRANSACTION_COLUMNS = ["transaction_id", "source_system", "transaction_date", "amount",
+                       "account_id", "transaction_type", "reference_id", "status", "payload",
+                       "created_at", "processing_timestamp"]
+
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -41,44 +41,36 @@ def _plus_seconds(ts: Column, seconds: Column) -> Column:
     return ts + F.expr("interval '1' second") * seconds
 
 
-def _pick(index: Column, words: list[str]) -> Column:
-    return F.element_at(F.array(*[F.lit(w) for w in words]), index.cast("int") + 1)
-
-
-def _replace(value: Column, words: dict[str, str]) -> Column:
-    return F.coalesce(*[F.when(value == old, F.lit(new)) for old, new in words.items()], value)
+def _replaced(value: str, words: dict[str, str]) -> str:
+    """SQL: the value, or its replacement."""
+    cases = " ".join(f"WHEN '{old}' THEN '{new}'" for old, new in words.items())
+    return f"CASE {value} {cases} ELSE {value} END" if words else value
 
 
 def _feed(orders: DataFrame) -> DataFrame:
     """The core feed with the order key ``k``."""
-    k = F.col("o_orderkey")
-    when = _plus_seconds(F.col("o_orderdate"), (k * 7919) % 86400)
-    status = (F.when(F.col("o_orderstatus") == "F", "completed")
-              .when(F.col("o_orderstatus") == "O", "pending")
-              .when(F.col("o_orderstatus") == "P", "failed").otherwise("reversed"))
-    return orders.select(
-        F.concat(F.lit("CB-"), k).alias("transaction_id"),
-        F.lit(PRIMARY).alias("source_system"),
-        when.alias("transaction_date"),
-        F.col("o_totalprice").cast(MONEY).alias("amount"),
-        F.concat(F.lit("ACC"), F.col("o_custkey")).alias("account_id"),
-        _pick(k % 6, TYPES).alias("transaction_type"),
-        F.concat(F.lit("REF-"), k).alias("reference_id"),
-        status.alias("status"),
-        F.concat(F.lit('{"category":"'), F.col("o_orderpriority"), F.lit('"}')).alias("payload"),
-        _plus_seconds(when, -(k % 60 + 1) * 60).alias("created_at"),
-        _plus_seconds(when, k % 30 + 1).alias("processing_timestamp"),
-        k.alias("k"),
+    when = "o_orderdate + interval '1' second * ((o_orderkey * 7919) % 86400)"
+    types = " ".join(f"WHEN {i} THEN '{name}'" for i, name in enumerate(TYPES))
+    return orders.selectExpr(
+        "concat('CB-', o_orderkey) AS transaction_id",
+        f"'{PRIMARY}' AS source_system",
+        f"{when} AS transaction_date",
+        "CAST(o_totalprice AS decimal(18,2)) AS amount",
+        "concat('ACC', o_custkey) AS account_id",
+        f"CASE o_orderkey % 6 {types} END AS transaction_type",
+        "concat('REF-', o_orderkey) AS reference_id",
+        "CASE o_orderstatus WHEN 'F' THEN 'completed' WHEN 'O' THEN 'pending' "
+        "WHEN 'P' THEN 'failed' ELSE 'reversed' END AS status",
+        "concat('{\"category\":\"', o_orderpriority, '\"}') AS payload",
+        f"{when} - interval '1' second * ((o_orderkey % 60 + 1) * 60) AS created_at",
+        f"{when} + interval '1' second * (o_orderkey % 30 + 1) AS processing_timestamp",
+        "o_orderkey AS k",
     )
 
 
 def primary_feed(orders: DataFrame) -> DataFrame:
     """The core banking feed: one transaction per order."""
-    return _feed(orders).drop("k")
-
-
-def _times(amount: Column, factor: str) -> Column:
-    return F.round(amount * F.lit(Decimal(factor)).cast("decimal(4,3)"), 2).cast(MONEY)
+    return _feed(orders).select(*TRANSACTION_COLUMNS)
 
 
 def secondary_feed(orders: DataFrame, system: str = "card_processor",
@@ -86,43 +78,39 @@ def secondary_feed(orders: DataFrame, system: str = "card_processor",
     """A second system's view of the same transactions, with injected discrepancies, plus
     transactions that only this system has. ``raw`` keeps the system's own vocabulary."""
     prefix, extra_prefix = ID_PREFIXES[system]
-    b, extra, k = F.col("b"), F.col("extra"), F.col("k").cast("string")
-    # One pass: a key yields its copy (unless bucket 0) and sometimes an extra row.
-    has_copy, has_extra = b != 0, F.col("k") % 50 == 7
-    rows = _feed(orders).withColumn("b", (F.col("k") * BUCKET_FACTOR[system]) % 100).withColumn(
-        "extra", F.explode(
-            F.when(has_copy & has_extra, F.array(F.lit(False), F.lit(True)))
-            .when(has_copy, F.array(F.lit(False))).when(has_extra, F.array(F.lit(True)))))
-    regular = ~extra
-    shift = (F.when(regular & (b == 4), F.lit(3600))
-             .when(regular & b.isin(5, 6), F.lit(3 * 86400)).otherwise(F.lit(0)))
-    status = F.when(
-        regular & (b == 3),
-        F.when(F.col("status") == "completed", "pending").otherwise("completed"),
-    ).otherwise(F.col("status"))
-    kind = F.col("transaction_type")
-    if raw:
-        status = _replace(status, RAW_STATUS.get(system, {}))
-        if RAW_TYPE.get(system):
-            kind = _replace(kind, RAW_TYPE[system])
-    return rows.select(
-        F.when(extra, F.concat(F.lit(extra_prefix), k))
-         .otherwise(F.concat(F.lit(prefix), k)).alias("transaction_id"),
-        F.lit(system).alias("source_system"),
-        _plus_seconds(F.col("transaction_date"), shift).alias("transaction_date"),
-        F.when(regular & b.isin(1, 6), _times(F.col("amount"), "1.005"))
-         .when(regular & (b == 2), _times(F.col("amount"), "1.030"))
-         .otherwise(F.col("amount")).alias("amount"),
-        F.when(extra, F.concat(F.lit("X"), F.col("account_id")))
-         .otherwise(F.col("account_id")).alias("account_id"),
-        kind.alias("transaction_type"),
-        F.when(extra, F.concat(F.lit("REFX-"), k))
-         .otherwise(F.col("reference_id")).alias("reference_id"),
-        status.alias("status"),
+    # One pass: a key yields its copy (unless bucket 0) and sometimes an extra row. Bucket -1
+    # below is an extra row, which no discrepancy applies to.
+    rows = _feed(orders).selectExpr(
+        "*", f"(k * {BUCKET_FACTOR[system]}) % 100 AS bucket",
+    ).selectExpr("*", """explode(
+        CASE WHEN bucket <> 0 AND k % 50 = 7 THEN array(bucket, -1L)
+             WHEN bucket <> 0 THEN array(bucket)
+             WHEN k % 50 = 7 THEN array(-1L) END) AS b""")
+    shift = ("interval '1' second * "
+             "(CASE WHEN b = 4 THEN 3600 WHEN b IN (5, 6) THEN 259200 ELSE 0 END)")
+
+    def times(factor: str) -> str:
+        return f"CAST(round(amount * CAST({factor} AS decimal(4,3)), 2) AS decimal(18,2))"
+
+    status = ("CASE WHEN b <> 3 THEN status WHEN status = 'completed' THEN 'pending' "
+              "ELSE 'completed' END")
+    return rows.selectExpr(
+        f"concat(if(b = -1, '{extra_prefix}', '{prefix}'), k) AS transaction_id",
+        f"'{system}' AS source_system",
+        f"transaction_date + {shift} AS transaction_date",
+        f"CASE WHEN b IN (1, 6) THEN {times('1.005')} WHEN b = 2 THEN {times('1.030')} "
+        "ELSE amount END AS amount",
+        "if(b = -1, concat('X', account_id), account_id) AS account_id",
+        _replaced("transaction_type", RAW_TYPE.get(system, {}) if raw else {})
+        + " AS transaction_type",
+        "if(b = -1, concat('REFX-', k), reference_id) AS reference_id",
+        f"{status} AS status",
         "payload",
-        _plus_seconds(F.col("created_at"), shift).alias("created_at"),
-        _plus_seconds(F.col("processing_timestamp"), shift).alias("processing_timestamp"),
-    )
+        f"created_at + {shift} AS created_at",
+        f"processing_timestamp + {shift} AS processing_timestamp",
+    ).selectExpr(*[
+        f"{_replaced('status', RAW_STATUS[system])} AS status" if raw and c == "status" else c
+        for c in TRANSACTION_COLUMNS])
 
 
 def all_feeds(orders: DataFrame, raw: bool = False) -> DataFrame:

@@ -35,7 +35,7 @@ def crowd(spark):
     return ps, ss, fx.frame(spark, ps).cache(), fx.frame(spark, ss).cache()
 
 
-@pytest.mark.parametrize("route", ROUTES)
+@pytest.mark.parametrize("route", ["plain", "cut_up"])
 @pytest.mark.parametrize("strategy", matching.STRATEGIES)
 def test_edge_rows_against_brute_force(edge, route, strategy):
     ps, ss, p, s = edge
@@ -43,9 +43,10 @@ def test_edge_rows_against_brute_force(edge, route, strategy):
     assert ids(found) == fx.brute_force(ps, ss, *matching.STRATEGIES[strategy])
 
 
-@pytest.mark.parametrize("route", ROUTES)
-@pytest.mark.parametrize("strategy", matching.STRATEGIES)
-def test_crowd_against_brute_force(crowd, route, strategy):
+@pytest.mark.parametrize("strategy,route", [
+    ("exact", "plain"), ("exact", "cut_up"), ("fuzzy", "plain"), ("fuzzy", "mixed"),
+    ("fuzzy", "cut_up"), *[("hybrid", route) for route in ROUTES]])
+def test_crowd_against_brute_force(crowd, strategy, route):
     ps, ss, p, s = crowd
     found = matching.outcomes(p, s, strategy, ROUTES[route])
     assert ids(found) == fx.brute_force(ps, ss, *matching.STRATEGIES[strategy])
