@@ -188,9 +188,10 @@ def _fuzzy_by_cells(part: Part, by: list[str], settings: Settings) -> DataFrame:
                 epoch_seconds(F.col("transaction_date")).alias(f"{name}_sec")]
 
     def usable(df: DataFrame) -> DataFrame:
-        return df.filter("amount >= 0").dropna(subset=[*GROUP, "transaction_date"])
+        return df.dropna(subset=[*GROUP, "amount", "transaction_date"])
 
-    p_places = usable(part.primary).select(*places("p")).distinct()
+    # The band of a negative primary is empty.
+    p_places = usable(part.primary).filter("amount >= 0").select(*places("p")).distinct()
     # Every round of the search reads these.
     s_places = durable(usable(part.secondary).groupBy(*places("s")).agg(
         F.min(F.struct(F.col("transaction_id").alias("id"),
@@ -242,7 +243,7 @@ def outcomes(primary: DataFrame, secondary: DataFrame, strategy: str = "hybrid",
     ``by`` names columns present on both sides that must agree as well.
     """
     if strategy not in STRATEGIES:
-        raise ValueError(f"Unknown match strategy: {strategy}")
+        raise ValueError(f"strategy {strategy!r} is none of {sorted(STRATEGIES)}")
     exact, fuzzy = STRATEGIES[strategy]
     by = list(by)
     parts = [
@@ -273,7 +274,7 @@ def match_star(transactions: DataFrame, sources: list[str] | tuple[str, ...],
     """The first source against each other source, in one job: outcomes with
     ``secondary_source``. Secondaries are not compared with each other."""
     if len(sources) < 2:
-        raise ValueError("At least two source systems are required for reconciliation")
+        raise ValueError("a star needs a first source and at least one other")
     first, *others = sources
     rows = transactions.select("source_system", *NARROW)
     primary = rows.filter(F.col("source_system") == first).withColumn(

@@ -50,7 +50,7 @@ def batch_report(batches: DataFrame, results: DataFrame) -> DataFrame:
 def time_series(results: DataFrame, interval: str = "day") -> DataFrame:
     """Counts per period and status. A day is a date; a week starts on Monday."""
     if interval not in INTERVALS:
-        raise ValueError(f"Invalid interval: {interval}")
+        raise ValueError(f"interval {interval!r} is none of {INTERVALS}")
     when = F.col("reconciliation_timestamp")
     period = F.to_date(when) if interval == "day" else F.date_trunc(interval, when)
     return (results.groupBy(period.alias("period"), "match_status").agg(*_totals())
