@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybook.llm import bpe
+from tallybook.llm import bpe, contamination, language, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 VOCABULARY_FILE = "byte_bpe_multi_50k.tiktoken"
@@ -29,8 +29,44 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def held_out(fold: int, of: int = 4) -> Column:
+    """Whether a document belongs to the fold that no model learns from."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % of == fold, F.lit(False))
+
+
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from the documents outside the held-out fold."""
+    docs = table(spark, sf_dir, "documents")
+    model = language.fit(docs.filter(~held_out(2)))
+    return language.predict(docs.select("doc_id", "text"), model).select(
+        "doc_id", held_out(2).alias("held_out"), "lang_pred", "score", "ambiguous")
+
+
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark windows in every document: hit words and items."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = contamination.scan(docs, table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", contamination.hit_words().alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.size("word_spans") > 0).alias("contaminated"))
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from labels outside the held-out fold."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels").filter(~held_out(2)))
+    return toxicity.score(docs, model).select(
+        "doc_id", held_out(2).alias("held_out"), "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 QUERIES: dict[str, Query] = {
     "op4_byte_bpe": op4_byte_bpe,
+    "op5_language_id": op5_language_id,
+    "op7_decontaminate": op7_decontaminate,
+    "op9_toxicity": op9_toxicity,
 }
 
 ORACLE_SQL: dict[str, str] = {}
