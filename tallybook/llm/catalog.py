@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybook.llm import bpe, chat, contamination, imatch, language, toxicity, warc
+from tallybook.llm import bpe, chat, contamination, imatch, jaccard, language, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 VOCABULARY_FILE = "byte_bpe_multi_50k.tiktoken"
@@ -85,6 +85,11 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near duplicates by word shingles: the component of every document."""
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_chat_format": op1_chat_format,
     "op3_warc": op3_warc,
@@ -93,6 +98,7 @@ QUERIES: dict[str, Query] = {
     "op7_decontaminate": op7_decontaminate,
     "op8_imatch": op8_imatch,
     "op9_toxicity": op9_toxicity,
+    "op10_ngram_jaccard": op10_ngram_jaccard,
 }
 
 ORACLE_SQL: dict[str, str] = {}
