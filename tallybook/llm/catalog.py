@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybook.llm import bpe, chat, contamination, imatch, jaccard, language, toxicity, warc
+from tallybook.llm import bpe, chat, contamination, imatch, jaccard, language, passages, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 VOCABULARY_FILE = "byte_bpe_multi_50k.tiktoken"
@@ -60,6 +60,13 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", held_out(2).alias("held_out"), "lang_pred", "score", "ambiguous")
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document under windows that an earlier document has."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return passages.remove_repeats(docs).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark windows in every document: hit words and items."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -95,6 +102,7 @@ QUERIES: dict[str, Query] = {
     "op3_warc": op3_warc,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_language_id": op5_language_id,
+    "op6_substring_dedup": op6_substring_dedup,
     "op7_decontaminate": op7_decontaminate,
     "op8_imatch": op8_imatch,
     "op9_toxicity": op9_toxicity,

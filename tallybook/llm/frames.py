@@ -102,7 +102,8 @@ def unpack(value: bytes) -> list[np.ndarray]:
 
 def ipc_bytes(batch: pa.RecordBatch, codec: str | None = "zstd") -> bytes:
     sink = pa.BufferOutputStream()
-    options = pa.ipc.IpcWriteOptions(compression=codec, use_threads=False)
+    options = pa.ipc.IpcWriteOptions(compression=codec and pa.Codec(codec, compression_level=3),
+                                      use_threads=False)
     with pa.ipc.new_stream(sink, batch.schema, options=options) as writer:
         writer.write_batch(batch)
     return sink.getvalue().to_pybytes()
@@ -120,6 +121,8 @@ def ipc_batch(value: bytes) -> pa.RecordBatch:
 
 Ask = Callable[[pa.RecordBatch], Iterable[tuple[str, int, bytes]]]
 BLOCKS = "kind string, block string, bucket long, payload binary"
+_ROWS = pa.schema([("kind", pa.string()), ("block", pa.string()), ("bucket", pa.int64()),
+                   ("payload", pa.binary())])
 
 
 def _gathered(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.RecordBatch]:
@@ -164,8 +167,7 @@ def rows(values: list[tuple[str, str, int | None, bytes]]) -> pa.RecordBatch:
     kinds, blocks, buckets, payloads = zip(*values, strict=True)
     return pa.RecordBatch.from_arrays(
         [pa.array(kinds, pa.string()), pa.array(blocks, pa.string()),
-         pa.array(buckets, pa.int64()), pa.array(payloads, pa.binary())],
-        names=["kind", "block", "bucket", "payload"])
+         pa.array(buckets, pa.int64()), pa.array(payloads, pa.binary())], schema=_ROWS)
 
 
 def bucket_slices(keys: np.ndarray, n_buckets: int) -> Iterator[tuple[int, slice]]:
@@ -194,16 +196,27 @@ def answered(table: DataFrame, kind: str,
 
 
 def with_answers(table: DataFrame, answers: DataFrame, schema: T.StructType | str,
-                 work: Callable[[pa.RecordBatch, dict[int, list[np.ndarray]]],
-                                Iterable[pa.RecordBatch] | pa.Table]) -> DataFrame:
-    """Bring each block and its answers together: ``work(rows, answers by bucket)``."""
+                 work: Callable[[str, pa.RecordBatch, dict[int, list[np.ndarray]]], pa.Table]
+                 ) -> DataFrame:
+    """Bring each block and its answers together: ``work(block, its rows, answers by bucket)``."""
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         told = {int(b.as_py()): unpack(v.as_buffer())
                 for b, v in zip(right["bucket"], right["payload"], strict=True)}
-        parts = [work(ipc_batch(v.as_buffer()), told) for v in left["payload"]]
-        return pa.concat_tables([p if isinstance(p, pa.Table) else pa.Table.from_batches(p)
-                                 for p in parts])
+        return pa.concat_tables([work(b.as_py(), ipc_batch(v.as_buffer()), told)
+                                 for b, v in zip(left["block"], left["payload"], strict=True)])
 
     blocks = table.filter(table["kind"] == "block")
     return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(run, schema)
+
+
+def more_asks(table: DataFrame, answers: DataFrame,
+              ask: Callable[[pa.RecordBatch, dict[int, list[np.ndarray]]],
+                            Iterable[tuple[str, int, bytes]]]) -> DataFrame:
+    """What each block asks, now that it has its answers."""
+
+    def work(block: str, batch: pa.RecordBatch, told: dict[int, list[np.ndarray]]) -> pa.Table:
+        asked = [(kind, block, bucket, payload) for kind, bucket, payload in ask(batch, told)]
+        return pa.Table.from_batches([rows(asked)] if asked else [], schema=_ROWS)
+
+    return with_answers(table, answers, BLOCKS, work)
