@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybook.llm import bpe, chat, contamination, imatch, jaccard, language, passages, toxicity, warc
+from tallybook.llm import bpe, chat, contamination, imatch, jaccard, language, passages, suffix_tree, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 VOCABULARY_FILE = "byte_bpe_multi_50k.tiktoken"
@@ -29,6 +29,14 @@ def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_turns(turns.unionByName(hostile)))
 
 
+def op2_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score every document by a suffix tree learned from nine tenths of them."""
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", "text", held_out(0, 10).alias("held_out"))
+    scored = suffix_tree.score(docs.withColumn("learn", ~F.col("held_out")), "learn")
+    return scored.drop("learn")
+
+
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write every page to archives and read them back by ranges."""
     return warc.archive(table(spark, sf_dir, "pages")).select(
@@ -99,6 +107,7 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_chat_format": op1_chat_format,
+    "op2_suffix_tree": op2_suffix_tree,
     "op3_warc": op3_warc,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_language_id": op5_language_id,

@@ -168,7 +168,7 @@ def windows(hashes: np.ndarray, n: int) -> np.ndarray:
     up, down = _WORD_POWERS.upto(len(hashes) + 1)
     sums = np.zeros(len(hashes) + 1, U64)
     np.cumsum(hashes * up[:-1], out=sums[1:])
-    return mix((sums[n:] - sums[:count]) * down[:count] + U64(n) * _STEP)
+    return mix((sums[n:] - sums[:count]) * down[:count] + U64(n * int(_STEP) & (1 << 64) - 1))
 
 
 def whole(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
