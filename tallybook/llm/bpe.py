@@ -15,6 +15,7 @@ import base64
 import functools
 import heapq
 import struct
+import uuid
 from dataclasses import dataclass
 
 import numpy as np
@@ -24,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from tallybook.llm.frames import appended
+from tallybook.llm.frames import appended, once
 
 # Pre-tokens that each of the two generations of an encoder's memory may hold, and the length
 # (characters) up to which a pre-token is remembered.
@@ -191,25 +192,13 @@ class Encoder:
         return b"".join(map(self.memory.__getitem__, self.cut(text)))
 
 
-_ENCODERS: dict[str, Encoder] = {}
-
-
-def _encoder(shared) -> Encoder:
-    """One encoder a worker process and vocabulary."""
-    key = str(shared.id) if hasattr(shared, "id") else str(id(shared))
-    if key not in _ENCODERS:
-        _ENCODERS.clear()
-        _ENCODERS[key] = Encoder(shared.value)
-    return _ENCODERS[key]
-
-
 def encode(df: DataFrame, vocabulary: Vocabulary, text: str = "text",
            output: str = "token_ids", count: str = "n_tokens") -> DataFrame:
     """Add the ids of each whole text, packed as little-endian 32-bit integers, and their number."""
-    shared = df.sparkSession.sparkContext.broadcast(vocabulary)
+    shared, name = df.sparkSession.sparkContext.broadcast(vocabulary), uuid.uuid4().hex
 
     def compute(batch: pa.RecordBatch) -> list[pa.Array]:
-        one = _encoder(shared).encode
+        one = once(name, lambda: Encoder(shared.value)).encode
         packed = [one(x) if x else b"" for x in batch.column(text).to_pylist()]
         return [pa.array(packed, pa.binary()),
                 pa.array([len(p) // 4 for p in packed], pa.int64())]

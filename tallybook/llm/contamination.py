@@ -16,16 +16,17 @@ for each part, every pass written before the next.
 
 from __future__ import annotations
 
+import uuid
+
 import ahocorasick
 import numpy as np
 import pyarrow as pa
-from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallybook.llm import words
-from tallybook.llm.frames import appended, stored
+from tallybook.llm.frames import appended, once, stored
 
 WINDOW = 10
 AUTOMATON_BYTES = 2 << 20
@@ -96,23 +97,11 @@ def original_spans(text: str, hits: list[tuple[int, int]]) -> list[dict[str, int
             for a, b in hits]
 
 
-_MATCHERS: dict[int, Matcher] = {}
-
-
-def _matcher(shared: Broadcast) -> Matcher:
-    """One compiled automaton a worker process and broadcast."""
-    key = shared.id if hasattr(shared, "id") else id(shared)
-    if key not in _MATCHERS:
-        _MATCHERS.clear()
-        _MATCHERS[key] = Matcher(*shared.value)
-    return _MATCHERS[key]
-
-
 def _scan(df: DataFrame, items: list[tuple[str | None, str]], text: str, size: int) -> DataFrame:
-    shared = df.sparkSession.sparkContext.broadcast((items, size))
+    shared, name = df.sparkSession.sparkContext.broadcast((items, size)), uuid.uuid4().hex
 
     def compute(batch: pa.RecordBatch) -> list[pa.Array]:
-        matcher = _matcher(shared)
+        matcher = once(name, lambda: Matcher(*shared.value))
         n_words, hits, ids, spans = [], [], [], []
         for value in batch.column(batch.schema.get_field_index(text)).to_pylist():
             n, found, owners = matcher.scan(value or "")

@@ -60,6 +60,18 @@ def appended(df: DataFrame, fields: list[T.StructField],
     return df.mapInArrow(run, schema)
 
 
+_KEPT: dict[str, object] = {}
+
+
+def once(name: str, make: Callable[[], object]) -> object:
+    """What ``make`` gives, made once a worker process and name; the last two are kept."""
+    if name not in _KEPT:
+        while len(_KEPT) > 1:
+            del _KEPT[next(iter(_KEPT))]
+        _KEPT[name] = make()
+    return _KEPT[name]
+
+
 def partitions(df: DataFrame) -> int:
     """How many tasks read a table: a measure of its size that needs no job."""
     return df.rdd.getNumPartitions()

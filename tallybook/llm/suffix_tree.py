@@ -21,6 +21,7 @@ probability 1/256. Repeated rows count and are scored as often as they occur.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
@@ -31,8 +32,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallybook.llm import words
-from tallybook.llm.frames import (BLOCKS, bucket_slices, buckets_for, pack, stored, to_blocks,
-                                  unpack, with_answers, without)
+from tallybook.llm.frames import (BLOCKS, bucket_slices, buckets_for, once, pack, stored,
+                                  to_blocks, unpack, with_answers, without)
 
 U64 = np.uint64
 DEPTH = 6
@@ -209,17 +210,6 @@ class Scorer:
         return sums[found.first[1:]] - sums[found.first[:-1]]
 
 
-_SCORERS: dict[int, Scorer] = {}
-
-
-def _scorer(shared) -> Scorer:
-    key = shared.id if hasattr(shared, "id") else id(shared)
-    if key not in _SCORERS:
-        _SCORERS.clear()
-        _SCORERS[key] = Scorer(shared.value)
-    return _SCORERS[key]
-
-
 # -- learning ------------------------------------------------------------------------------
 
 def _asks(batch: pa.RecordBatch, text: str, learn: str, n_buckets: int
@@ -331,7 +321,7 @@ def score(df: DataFrame, learn: str, text: str = "text", prior: float = 0.1) ->
     ends = sums.get("ends") or 0
     total = (sums.get("tokens") or 0) + ends
     distinct = (sums.get("known") or 0) + (ends > 0)
-    shared = df.sparkSession.sparkContext.broadcast(_tree(table))
+    shared, tree_name = df.sparkSession.sparkContext.broadcast(_tree(table)), uuid.uuid4().hex
 
     def base(count: np.ndarray | int) -> np.ndarray:
         return np.log10((count + prior) / (total + prior * (distinct + 1)))
@@ -347,7 +337,7 @@ def score(df: DataFrame, learn: str, text: str = "text", prior: float = 0.1) ->
         counts = np.zeros(len(keys), np.int64)
         for bucket, part in bucket_slices(keys, n_buckets):
             counts[part] = told[bucket][0]
-        scorer = _scorer(shared)
+        scorer = once(tree_name, lambda: Scorer(shared.value))
         parts = [[], [], [], []]
         for data, offsets, own in found:
             count = counts[words.lookup(keys, own.hashes)]
