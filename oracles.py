@@ -240,25 +240,31 @@ CDC_REJECTED = f"""{TELE} SELECT CAST(Id AS BIGINT) * 10 + n AS "offset", reason
           (5, 'no payload', 200, 13), (6, 'no id', 200, 14)) AS v(n, reason, m, r)
   WHERE Id % m = r"""
 # One primary after the other, per account, with the secondaries taken so far.
-GREEDY = f"""WITH RECURSIVE {CORE},{CARD},
-options AS (
-  SELECT p.account_id, p.transaction_id AS pid,
-         row_number() OVER (PARTITION BY p.account_id ORDER BY p.transaction_id) AS turn,
-         list(s.transaction_id ORDER BY s.transaction_id)
-           FILTER (s.transaction_id IS NOT NULL) AS choices
-  FROM core p LEFT JOIN card s ON p.account_id = s.account_id
-       AND abs(p.amount - s.amount) <= 1.00
-  GROUP BY p.account_id, p.transaction_id),
-walk AS (
-  SELECT DISTINCT account_id, CAST(0 AS BIGINT) AS turn, CAST([] AS VARCHAR[]) AS taken,
-         CAST(NULL AS VARCHAR) AS pid, CAST(NULL AS VARCHAR) AS sid FROM options
-  UNION ALL
-  SELECT account_id, turn, CASE WHEN sid IS NULL THEN taken ELSE list_append(taken, sid) END,
-         pid, sid
-  FROM (SELECT w.account_id, o.turn, w.taken, o.pid,
-               [x for x in o.choices if NOT list_contains(w.taken, x)][1] AS sid
-        FROM walk w JOIN options o ON o.account_id = w.account_id AND o.turn = w.turn + 1)),
-pairs AS (SELECT pid, sid FROM walk WHERE sid IS NOT NULL),
+def _one_to_one() -> str:
+    """CTEs of the four-step rule; the last is pairs(pid, sid)."""
+    unit = "CAST(floor(cents / 100.0) AS BIGINT)"
+    steps = [("cents", "id"), (unit, "cents, id")]
+    for shift in (0, 1):
+        couple = f"CAST(floor(({unit} + {shift}) / 2.0) AS BIGINT)"
+        steps.append((couple, f"abs(cents - (2 * {couple} + 1 - {shift}) * 100), id"))
+    ctes = ["""left0 AS (
+  SELECT account_id, transaction_id AS id, CAST(amount * 100 AS BIGINT) AS cents, TRUE AS is_p
+  FROM core UNION ALL SELECT account_id, transaction_id, CAST(amount * 100 AS BIGINT), FALSE
+  FROM card)"""]
+    for k, (cell, order) in enumerate(steps):
+        ctes.append(f"""ranked{k} AS (SELECT *, {cell} AS cell, row_number() OVER (
+  PARTITION BY account_id, {cell}, is_p ORDER BY {order}) AS turn FROM left{k}),
+pairs{k} AS (SELECT p.id AS pid, s.id AS sid
+  FROM ranked{k} p JOIN ranked{k} s USING (account_id, cell, turn)
+  WHERE p.is_p AND NOT s.is_p AND abs(p.cents - s.cents) <= 100),
+left{k + 1} AS (SELECT account_id, id, cents, is_p FROM left{k}
+  WHERE id NOT IN (SELECT pid FROM pairs{k}) AND id NOT IN (SELECT sid FROM pairs{k}))""")
+    ctes.append("pairs AS (" + " UNION ALL ".join(f"SELECT * FROM pairs{k}" for k in range(4))
+                + ")")
+    return ",\n".join(ctes)
+
+
+GREEDY = f"""WITH {CORE},{CARD},{_one_to_one()},
 sides AS (
   SELECT 'PAIR' AS outcome, {SIDES}
   FROM pairs JOIN core p ON p.transaction_id = pid JOIN card s ON s.transaction_id = sid
@@ -517,3 +523,28 @@ SQL: dict[str, str] = {
         AND TIMESTAMP '2024-01-01' + to_days(CAST(c_custkey % 40 AS INTEGER))
             > TIMESTAMP '2024-02-05')""",
 }
+
+SQL |= {
+    "sample_rows": f"{TELE} SELECT {TELE_COLUMNS} FROM tele ORDER BY Id LIMIT 5",
+    "month_orders": f"""WITH {CORE} SELECT transaction_id, transaction_date AS DateIn FROM core
+        WHERE month(transaction_date) = 3 AND year(transaction_date) = 1997""",
+    "csv_read": f"WITH {CORE} SELECT {TX} FROM core",
+    "csv_inferred": f"""WITH {CORE} SELECT transaction_id, transaction_date, amount, status
+        FROM core""",
+    "csv_directory": f"{PAIR} SELECT {TX} FROM card",
+    "store_table": f"""{TELE}, twice AS (SELECT * FROM tele UNION ALL SELECT * FROM tele)
+        SELECT {TELE_COLUMNS}, strftime(DateIn, '%Y-%m') AS month_in FROM twice""",
+    "saved_results": f"""{RECON} SELECT reconciliation_id, match_status, notes FROM h_results
+        WHERE match_status = 'UNMATCHED' ORDER BY reconciliation_id LIMIT 200""",
+    "granted_columns": f"{TELE} SELECT Id, DateIn FROM tele",
+    "page_after": f"""{FEEDS} SELECT {TX} FROM tx WHERE source_system = 'card_processor'
+        AND (transaction_date < TIMESTAMP '1997-03-01 00:00:00'
+             OR transaction_date = TIMESTAMP '1997-03-01 00:00:00' AND transaction_id > 'CP-1')
+        ORDER BY transaction_date DESC, transaction_id LIMIT 100""",
+}
+
+# The skewed feeds differ in the account alone.
+_FEW = "'ACC' || CASE WHEN o_orderkey % 3 = 0 THEN 0 ELSE o_orderkey % 20 END"
+SQL |= {f"{name}_skewed": SQL[query].replace("'ACC' || o_custkey", _FEW) for name, query in (
+    ("hybrid_match", "hybrid_match"), ("fuzzy_best", "fuzzy_best"),
+    ("greedy", "greedy_one_to_one"), ("rule_amount", "rule_amount"), ("rule_date", "rule_date"))}

@@ -1,12 +1,11 @@
 """Matching of a primary against a secondary feed: exact, fuzzy, or exact and then fuzzy.
 
 ``outcomes`` yields one row per pair, per primary without partner and per secondary without
-partner. Every condition of every strategy includes equal account and type, so groups of these
-are independent:
+partner. There is one route for groups of any size: exact pairs come from an equi-join on the exact
+key, best partners from an equi-join on amount x time cells, and what is left from anti joins.
 
-* groups that fit a task (checked) are matched with window functions over one single exchange of
-  both feeds together;
-* hot groups are matched with joins on exact keys and on amount x time cells.
+A record is its id: once a row is paired, no other row of the same id is left over, and the fuzzy
+phase gives each primary id one partner. A row without an id is known by its content instead.
 """
 
 from __future__ import annotations
@@ -14,14 +13,12 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallybook.functions.money import (amount_gap, epoch_seconds, match_score, seconds_apart,
-                                       within_amount)
+from tallybook.functions.money import amount_gap, epoch_seconds
 from tallybook.operators.nearest import best_partners
 from tallybook.operators.pairs import EXACT, GROUP
-from tallybook.operators.skew import Part, split_hot, thin_keys
 from tallybook.session import durable
 from tallybook.settings import DEFAULTS, Settings
 
@@ -68,119 +65,41 @@ def classified(rows: DataFrame, by: list[str]) -> DataFrame:
     }).select(*by, "outcome", *MATCH_COLUMNS)
 
 
-def _partner(ident: Column, date: Column, amount: Column, status: Column) -> Column:
-    return F.struct(ident.alias("id"), date.alias("date"), amount.alias("amount"),
-                    status.alias("status"))
-
-
-def _one_exchange(part: Part, by: list[str], exact: bool, fuzzy: bool,
-                  settings: Settings) -> DataFrame:
-    """All phases over one exchange on (account, type): the windows below share it."""
-    # Rows that can never match (a null key) get groups of their own, so that a feed full of
-    # nulls does not end up in one task.
-    matchable = (F.col("account_id").isNotNull() & F.col("transaction_type").isNotNull()
-                 & F.col("amount").isNotNull())
-    spread = F.when(F.col("matchable"), F.lit(0)).otherwise(F.xxhash64(*NARROW))
-
-    def tagged(df: DataFrame, is_primary: bool) -> DataFrame:
-        return df.select(*by, *NARROW, F.lit(is_primary).alias("is_primary"))
-
-    group = [*by, *GROUP, "spread"]
-    rows = (tagged(part.primary, True).unionByName(tagged(part.secondary, False))
-            .withColumn("matchable", matchable).withColumn("spread", spread)
-            .repartition(*group))
-    is_p = F.col("is_primary")
-    me = _partner(*[F.col(c) for c in ("transaction_id", "transaction_date", "amount", "status")])
-    paired = F.lit(False)
-    if exact:
-        key = Window.partitionBy(*group, "amount", "status")
-        usable = F.col("matchable") & F.col("status").isNotNull()
-        rows = rows.withColumns({
-            "twins": F.collect_list(F.when(~is_p & usable, me)).over(key),
-            "twin_primaries": F.count(F.when(is_p & usable, 1)).over(key),
-        }).withColumn("paired", F.when(
-            usable, F.when(is_p, F.size("twins") > 0).otherwise(F.col("twin_primaries") > 0)
-        ).otherwise(F.lit(False)))
-        paired = F.col("paired")
-    partners = F.when(is_p & paired, F.col("twins")) if exact else F.lit(None)
-    alone = ~paired
-    nobody = F.array(F.lit(None).cast(rows.select(me.alias("m")).schema["m"].dataType))
-    if fuzzy:
-        whole = Window.partitionBy(*group)
-        free = ~paired & F.col("matchable")
-        rows = rows.withColumn("pool", F.collect_list(F.when(~is_p & free, me)).over(whole))
-
-        def near(other: Column) -> Column:
-            return (within_amount(F.col("amount"), other["amount"], settings.amount_tolerance)
-                    & (seconds_apart(F.col("transaction_date"), other["date"])
-                       <= settings.date_tolerance_seconds))
-
-        def ranked(other: Column) -> Column:
-            seconds = seconds_apart(F.col("transaction_date"), other["date"])
-            return F.struct(
-                (-match_score(F.col("amount"), other["amount"], seconds)).alias("cost"),
-                other["id"].alias("id"), other.alias("partner"))
-
-        rows = rows.withColumn("best", F.when(
-            is_p & free, F.array_min(F.transform(F.filter("pool", near), ranked)))["partner"])
-        rows = rows.withColumn("taken", F.collect_set("best.id").over(whole))
-        partners = F.coalesce(partners, F.when(F.col("best").isNotNull(), F.array("best")))
-        alone = alone & F.when(is_p, F.col("best").isNull()).otherwise(
-            ~F.coalesce(F.array_contains("taken", F.col("transaction_id")), F.lit(False)))
-    rows = rows.select(
-        *by, *NARROW, "is_primary", F.explode(F.coalesce(partners, F.when(alone, nobody))).alias("o"))
-
-    def of(side_is_primary: Column, name: str, other: str) -> Column:
-        return F.when(side_is_primary, F.col(name)).otherwise(F.col(f"o.{other}"))
-
-    return rows.select(
-        *by,
-        F.when(F.col("o").isNotNull(), "PAIR").when(is_p, "PRIMARY_ONLY")
-         .otherwise("SECONDARY_ONLY").alias("outcome"), *GROUP,
-        F.when(is_p, F.col("transaction_id")).alias("primary_transaction_id"),
-        F.when(is_p, F.col("amount")).alias("primary_amount"),
-        F.when(is_p, F.col("transaction_date")).alias("primary_transaction_date"),
-        F.when(is_p, F.col("status")).alias("primary_status"),
-        of(~is_p, "transaction_id", "id").alias("secondary_transaction_id"),
-        of(~is_p, "amount", "amount").alias("secondary_amount"),
-        of(~is_p, "transaction_date", "date").alias("secondary_transaction_date"),
-        of(~is_p, "status", "status").alias("secondary_status"))
+def _keyed(df: DataFrame, by: list[str]) -> DataFrame:
+    """The columns that matching needs, and what a record is known by."""
+    content = F.concat(F.lit("#"), F.xxhash64(*NARROW).cast("string"))
+    return df.select(*by, *NARROW, F.coalesce("transaction_id", content).alias("record"))
 
 
 def _sided(df: DataFrame, name: str, by: list[str]) -> DataFrame:
-    return df.select(*by, *GROUP, *[F.col(c).alias(f"{name}_{c}") for c in SIDE])
+    return df.select(*by, *GROUP, "record", *[F.col(c).alias(f"{name}_{c}") for c in SIDE])
 
 
 def _alone(df: DataFrame, name: str, other: str, by: list[str]) -> DataFrame:
     """Rows without a partner, in the outcome layout."""
     types = df.schema
-    return _sided(df, name, by).withColumns({
+    return _sided(df, name, by).drop("record").withColumns({
         "outcome": F.lit(f"{name.upper()}_ONLY"),
         **{f"{other}_{c}": F.lit(None).cast(types[c].dataType) for c in SIDE},
     })
 
 
-def _exact_by_join(part: Part, by: list[str]) -> tuple[DataFrame, Part]:
-    """Exact pairs, and what is left of both sides."""
+def _exact(primary: DataFrame, secondary: DataFrame, by: list[str]) -> DataFrame:
+    """Every pair that agrees in the exact key, with the records of both sides."""
     keys = [*by, *EXACT]
-    left, right = part.primary.select(*by, *NARROW), part.secondary.select(*by, *NARROW)
 
     def named(df: DataFrame, name: str) -> DataFrame:
         return df.select(*keys, *[F.col(c).alias(f"{name}_{c}")
-                                  for c in ("transaction_id", "transaction_date")])
+                                  for c in ("transaction_id", "transaction_date", "record")])
 
-    pairs = named(left, "primary").join(named(right, "secondary"), keys).withColumn(
-        "outcome", F.lit("PAIR"))
-    for name in ("primary", "secondary"):
-        pairs = pairs.withColumns({f"{name}_amount": F.col("amount"),
-                                   f"{name}_status": F.col("status")})
-    return pairs.drop("amount", "status"), Part(
-        left.join(thin_keys(right, keys, "transaction_id"), keys, "left_anti"),
-        right.join(thin_keys(left, keys, "transaction_id"), keys, "left_anti"), hot=True)
+    pairs = named(primary, "primary").join(named(secondary, "secondary"), keys)
+    return pairs.withColumns({f"{side}_{c}": F.col(c) for side in ("primary", "secondary")
+                              for c in ("amount", "status")}).drop("amount", "status")
 
 
-def _fuzzy_by_cells(part: Part, by: list[str], settings: Settings) -> DataFrame:
-    """Best partners of all rows, by the cell-wise nearest search."""
+def _best(primary: DataFrame, secondary: DataFrame, by: list[str],
+          settings: Settings) -> DataFrame:
+    """The best partner of each primary record, with the records of both sides."""
     keys = [*by, *GROUP]
 
     def places(name: str) -> list[Column]:
@@ -191,49 +110,36 @@ def _fuzzy_by_cells(part: Part, by: list[str], settings: Settings) -> DataFrame:
         return df.dropna(subset=[*GROUP, "amount", "transaction_date"])
 
     # The band of a negative primary is empty.
-    p_places = usable(part.primary).filter("amount >= 0").select(*places("p")).distinct()
+    able = usable(primary).filter("amount >= 0")
+    p_places = able.select(*places("p")).distinct()
     # Every round of the search reads these.
-    s_places = durable(usable(part.secondary).groupBy(*places("s")).agg(
-        F.min(F.struct(F.col("transaction_id").alias("id"),
+    s_places = durable(usable(secondary).groupBy(*places("s")).agg(
+        F.min(F.struct("record", F.col("transaction_id").alias("id"),
                        F.col("transaction_date").alias("date"),
                        F.col("status").alias("status"))).alias("pick")))
-    best = durable(best_partners(
-        p_places, s_places, keys, settings.amount_tolerance, settings.date_tolerance_seconds,
-        settings).filter("partner is not null"))
+    best = best_partners(p_places, s_places, keys, settings.amount_tolerance,
+                         settings.date_tolerance_seconds, settings)
     o = F.col("partner")
-    rows = _sided(part.primary, "primary", by).withColumns({
+    hits = _sided(able, "primary", by).withColumns({
         "p_amount": F.col("primary_amount"),
         "p_sec": epoch_seconds(F.col("primary_transaction_date")),
-    }).join(best, [*keys, "p_amount", "p_sec"], "left").withColumns({
-        "outcome": F.when(o.isNotNull(), "PAIR").otherwise("PRIMARY_ONLY"),
-        "secondary_transaction_id": o["pick"]["id"], "secondary_amount": o["amount"],
-        "secondary_transaction_date": o["pick"]["date"],
-        "secondary_status": o["pick"]["status"],
-    }).drop("p_amount", "p_sec", "partner")
-    used = best.select(*by, o["pick"]["id"].alias("transaction_id")).distinct()
-    rest = part.secondary.join(used, [*by, "transaction_id"], "left_anti")
-    return rows.unionByName(_alone(rest, "secondary", "primary", by))
-
-
-def _cut_up(part: Part, by: list[str], exact: bool, fuzzy: bool,
-            settings: Settings) -> DataFrame:
-    """Hot groups: joins on the exact key; of the rest, groups that now fit a task are matched
-    as usual, and the others by cells."""
-    found, rest = [], part
-    if exact:
-        pairs, rest = _exact_by_join(part, by)
-        found.append(pairs)
-    if not fuzzy:
-        return reduce(DataFrame.unionByName, [
-            *found, _alone(rest.primary, "primary", "secondary", by),
-            _alone(rest.secondary, "secondary", "primary", by)])
-    rest = Part(durable(rest.primary.select(*by, *NARROW)),
-                durable(rest.secondary.select(*by, *NARROW)), hot=True)
-    parts = split_hot(rest.primary, rest.secondary, GROUP, settings) if exact else [rest]
-    for piece in parts:
-        found.append(_fuzzy_by_cells(piece, by, settings) if piece.hot
-                     else _one_exchange(piece, by, False, True, settings))
-    return reduce(DataFrame.unionByName, found)
+    }).join(best.filter("partner is not null"), [*keys, "p_amount", "p_sec"])
+    # Of several rows of a record the one with the best partner counts.
+    side = [f"primary_{c}" for c in SIDE]
+    one = hits.groupBy(*by, F.col("record").alias("primary_record")).agg(F.min(F.struct(
+        o["cost"].alias("cost"), o["pick"]["record"].alias("secondary_record"), *GROUP, *side,
+        o["amount"].alias("amount"), o["pick"].alias("pick"))).alias("m"))
+    pick = F.col("m.pick")
+    return one.select(
+        *by, "primary_record", "m.secondary_record", *[f"m.{c}" for c in [*GROUP, *side]],
+        pick["id"].alias("secondary_transaction_id"), F.col("m.amount").alias("secondary_amount"),
+        pick["date"].alias("secondary_transaction_date"), pick["status"].alias("secondary_status"))
+
+
+def _left_over(rows: DataFrame, pairs: DataFrame, name: str, by: list[str]) -> DataFrame:
+    """Rows none of whose record's rows are paired."""
+    taken = pairs.select(*by, F.col(f"{name}_record").alias("record")).distinct()
+    return rows.join(taken, [*by, "record"], "left_anti")
 
 
 def outcomes(primary: DataFrame, secondary: DataFrame, strategy: str = "hybrid",
@@ -246,11 +152,22 @@ def outcomes(primary: DataFrame, secondary: DataFrame, strategy: str = "hybrid",
         raise ValueError(f"strategy {strategy!r} is none of {sorted(STRATEGIES)}")
     exact, fuzzy = STRATEGIES[strategy]
     by = list(by)
-    parts = [
-        (_cut_up if part.hot else _one_exchange)(part, by, exact, fuzzy, settings)
-        for part in split_hot(primary, secondary, GROUP, settings)
-    ]
-    return classified(reduce(DataFrame.unionByName, parts), by)
+    p, s = _keyed(primary, by), _keyed(secondary, by)
+    found = []
+    if exact:
+        found.append(_exact(p, s, by))
+        p, s = (_left_over(x, found[-1], name, by) for x, name in ((p, "primary"),
+                                                                   (s, "secondary")))
+    if fuzzy:
+        if exact:
+            p, s = durable(p), durable(s)
+        found.append(durable(_best(p, s, by, settings)))
+        p, s = (_left_over(x, found[-1], name, by) for x, name in ((p, "primary"),
+                                                                   (s, "secondary")))
+    pairs = [x.drop("primary_record", "secondary_record").withColumn("outcome", F.lit("PAIR"))
+             for x in found]
+    return classified(reduce(DataFrame.unionByName, [
+        *pairs, _alone(p, "primary", "secondary", by), _alone(s, "secondary", "primary", by)]), by)
 
 
 def _one_side(rows: DataFrame, outcome: str, side: str, by: list[str]) -> DataFrame:

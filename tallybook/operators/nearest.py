@@ -1,9 +1,11 @@
-"""Best partner of each primary inside hot groups, without comparing all pairs of a group.
+"""Best partner of each primary, without comparing all pairs of a group.
 
 Rows at the same place (account, type, amount, second) share their best partner, so places are
-deduplicated first, on the map side. Places then look for partners in a small radius of seconds
-and the radius of amount that costs as much; who finds one that nothing outside the radius can beat is
-done, the others go on with a radius sixteen times as wide, at last with the full tolerance.
+deduplicated first, on the map side. Partners are looked for in cells of amount and time. Where
+cells as wide as the tolerance are crowded, places look in a small radius of seconds first, and the
+radius of amount that costs as much; who finds one that nothing outside the radius can beat is
+done, the others go on with a radius sixteen times as wide, at last with the full tolerance. The
+radii only save comparisons: every place gets the same partner with any of them.
 """
 
 from __future__ import annotations
@@ -33,7 +35,12 @@ def best_partners(primary_places: DataFrame, secondary_places: DataFrame, keys:
     limit = float(amount_tolerance)
     # Beyond the widest reach the tolerances themselves bound the search.
     widest = seconds_tolerance + math.ceil(limit * SCORE_DAY_SECONDS)
-    radii = [r for r in settings.search_radii if r < widest] + [None]
+    crowd = secondary_places.groupBy(
+        *keys, time_cell(F.col("s_sec"), seconds_tolerance),
+        amount_cell(F.col("s_amount"), limit)).count().agg(F.max("count")).first()[0] or 0
+    radii = [r for r in settings.search_radii if r < widest] if (
+        crowd > settings.crowded_cell) else []
+    radii.append(None)
     remaining, found = primary_places, []
     for radius in radii:
         reach_seconds = seconds_tolerance if radius is None else min(radius, seconds_tolerance)

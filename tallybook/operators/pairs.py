@@ -4,15 +4,14 @@ from __future__ import annotations
 
 import math
 from decimal import Decimal
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallybook.functions.money import (amount_gap, epoch_seconds, match_score, seconds_apart,
                                        within_amount)
-from tallybook.operators.skew import split_hot, without
-from tallybook.settings import DEFAULTS, Settings
+from tallybook.operators.skew import without
+from tallybook.settings import DEFAULTS
 
 GROUP = ["account_id", "transaction_type"]
 EXACT = ["account_id", "transaction_type", "amount", "status"]
@@ -29,7 +28,7 @@ def side(df: DataFrame, prefix: str, keys: list[str], extra: tuple[str, ...] = (
 
 def amount_cell(amount: Column, tolerance: float) -> Column:
     """Logarithmic cell: amounts within the band lie in the same or a neighbouring cell."""
-    if tolerance >= 0.5:
+    if tolerance >= 1:  # the band reaches down to zero
         return F.lit(0).cast("long")
     width = -math.log1p(-tolerance) * CELL_MARGIN if tolerance > 0 else 1e-9
     value = amount.cast("double")
@@ -50,18 +49,15 @@ def exact_pairs(primary: DataFrame, secondary: DataFrame) -> DataFrame:
 
     A plain equi-join: AQE splits a hot key on both sides.
     """
-    p = primary.select(*EXACT, F.col("transaction_id").alias("primary_transaction_id"),
-                       F.col("transaction_date").alias("primary_transaction_date"))
-    s = secondary.select(*EXACT, F.col("transaction_id").alias("secondary_transaction_id"),
-                         F.col("transaction_date").alias("secondary_transaction_date"))
-    return p.join(s, EXACT).select(
-        "primary_transaction_id", "secondary_transaction_id", "account_id",
-        F.col("amount").alias("primary_amount"), F.col("amount").alias("secondary_amount"),
-        "transaction_type", "primary_transaction_date", "secondary_transaction_date",
-        F.col("status").alias("primary_status"), F.col("status").alias("secondary_status"),
-        F.lit("MATCHED").alias("match_status"),
+    p, s = (df.select(*EXACT, *[F.col(c).alias(f"{name}_{c}") for c in
+                                ("transaction_id", "transaction_date")])
+            for df, name in ((primary, "primary"), (secondary, "secondary")))
+    both = p.join(s, EXACT)
+    return both.select(
+        "*", *[F.col(c).alias(f"{name}_{c}") for name in ("primary", "secondary")
+               for c in ("amount", "status")], F.lit("MATCHED").alias("match_status"),
         F.lit(None).cast("string").alias("discrepancy_type"),
-        F.lit(None).cast("decimal(18,2)").alias("discrepancy_amount"))
+        F.lit(None).cast("decimal(18,2)").alias("discrepancy_amount")).drop("amount", "status")
 
 
 def unmatched_rows(rows: DataFrame, others: DataFrame) -> DataFrame:
@@ -71,52 +67,38 @@ def unmatched_rows(rows: DataFrame, others: DataFrame) -> DataFrame:
 
 def band_pairs(primary: DataFrame, secondary: DataFrame, keys: list[str],
                amount_tolerance: Decimal | None = None, seconds_tolerance: int | None = None,
-               settings: Settings = DEFAULTS, extra: tuple[str, ...] = ()) -> DataFrame:
+               extra: tuple[str, ...] = ()) -> DataFrame:
     """Pairs equal in ``keys`` and within the given bands; columns are p_* and s_*.
 
-    Groups that fit a task are joined on the keys with the bands as residual. Hot groups are
-    joined on amount and time cells as well, so that only neighbours are compared.
+    Each band is joined on cells as well, so that only neighbours are compared, however many rows
+    share the keys.
     """
-    group = [k for k in keys if k in GROUP]
-
-    def band() -> Column:
-        conditions = [F.lit(True)]
-        if amount_tolerance is not None:
-            conditions.append(within_amount(F.col("p_amount"), F.col("s_amount"),
-                                            amount_tolerance))
-        if seconds_tolerance is not None:
-            conditions.append(seconds_apart(F.col("p_transaction_date"),
-                                            F.col("s_transaction_date")) <= seconds_tolerance)
-        return reduce(lambda a, b: a & b, conditions)
-
-    parts = []
-    for part in split_hot(primary, secondary, group, settings):
-        p, s = side(part.primary, "p", keys, extra), side(part.secondary, "s", keys, extra)
-        cells = []
-        if part.hot and amount_tolerance is not None:
-            cells.append("amount_cell")
-            p = p.withColumn("amount_cell", neighbours(
-                amount_cell(F.col("p_amount"), float(amount_tolerance))))
-            s = s.withColumn("amount_cell", amount_cell(F.col("s_amount"),
+    p, s = side(primary, "p", keys, extra), side(secondary, "s", keys, extra)
+    cells, holds = [], F.lit(True)
+    if amount_tolerance is not None:
+        cells.append("amount_cell")
+        p, s = (x.withColumn("amount_cell", amount_cell(F.col(f"{n}_amount"),
                                                         float(amount_tolerance)))
-        if part.hot and seconds_tolerance is not None:
-            cells.append("time_cell")
-            p = p.withColumn("time_cell", neighbours(time_cell(
-                epoch_seconds(F.col("p_transaction_date")), seconds_tolerance)))
-            s = s.withColumn("time_cell", time_cell(
-                epoch_seconds(F.col("s_transaction_date")), seconds_tolerance))
-        parts.append(p.join(s, keys + cells).filter(band()).drop(*cells))
-    return reduce(DataFrame.unionByName, parts)
+                for x, n in ((p, "p"), (s, "s")))
+        if float(amount_tolerance) < 1:
+            p = p.withColumn("amount_cell", neighbours(F.col("amount_cell")))
+        holds &= within_amount(F.col("p_amount"), F.col("s_amount"), amount_tolerance)
+    if seconds_tolerance is not None:
+        cells.append("time_cell")
+        p, s = (x.withColumn("time_cell", time_cell(epoch_seconds(
+            F.col(f"{n}_transaction_date")), seconds_tolerance)) for x, n in ((p, "p"), (s, "s")))
+        p = p.withColumn("time_cell", neighbours(F.col("time_cell")))
+        holds &= seconds_apart(F.col("p_transaction_date"),
+                               F.col("s_transaction_date")) <= seconds_tolerance
+    return p.join(s, keys + cells).filter(holds).drop(*cells)
 
 
 def fuzzy_candidates(primary: DataFrame, secondary: DataFrame,
                      amount_tolerance: Decimal = DEFAULTS.amount_tolerance,
-                     date_tolerance_seconds: int = DEFAULTS.date_tolerance_seconds,
-                     settings: Settings = DEFAULTS) -> DataFrame:
+                     date_tolerance_seconds: int = DEFAULTS.date_tolerance_seconds) -> DataFrame:
     """All pairs of the same account and type within both tolerances, with their score."""
     seconds = seconds_apart(F.col("p_transaction_date"), F.col("s_transaction_date"))
-    pairs = band_pairs(primary, secondary, GROUP, amount_tolerance, date_tolerance_seconds,
-                       settings)
+    pairs = band_pairs(primary, secondary, GROUP, amount_tolerance, date_tolerance_seconds)
     return pairs.select(
         F.col("p_transaction_id").alias("primary_transaction_id"),
         F.col("s_transaction_id").alias("secondary_transaction_id"), *GROUP,

@@ -39,6 +39,14 @@ def _notes(primary_source: Column, secondary_source: Column) -> Column:
         .otherwise(F.concat(F.lit("Exact match between "), *both)))
 
 
+def _known_by(side: str, missing: str) -> Column:
+    """The side's transaction id; a row without one is known by its content, a missing row by
+    nothing."""
+    content = F.concat_ws("~", "account_id", f"{side}_amount", f"{side}_transaction_date")
+    return F.coalesce(f"{side}_transaction_id", F.when(
+        F.col("discrepancy_type").eqNullSafe(F.lit(missing)), F.lit("")).otherwise(content))
+
+
 def reconciliation_results(outcome_rows: DataFrame, batch_id: str | Column, primary_source: str,
                            secondary_source: str | Column, at: Column) -> DataFrame:
     """Outcome rows as rows of the results table. ``at`` is the reconciliation time: one literal
@@ -49,6 +57,6 @@ def reconciliation_results(outcome_rows: DataFrame, batch_id: str | Column, prim
         "batch_id": batch,
         "reconciliation_timestamp": at,
         "notes": _notes(F.lit(primary_source), second),
-        "reconciliation_id": result_id(
-            batch, second, F.col("primary_transaction_id"), F.col("secondary_transaction_id")),
+        "reconciliation_id": result_id(batch, second, _known_by("primary", "MISSING_PRIMARY"),
+                                       _known_by("secondary", "MISSING_SECONDARY")),
     }).select(*RESULT_COLUMNS)

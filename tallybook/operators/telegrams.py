@@ -68,5 +68,5 @@ def latest(telegrams: DataFrame, n: int = 10) -> DataFrame:
 
 
 def sample(telegrams: DataFrame, n: int = 5) -> DataFrame:
-    """Any n rows."""
-    return telegrams.limit(n)
+    """The n rows of smallest id."""
+    return telegrams.orderBy("Id").limit(n)

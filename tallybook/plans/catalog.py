@@ -17,7 +17,7 @@ from tallybook.operators import (entitlements, history, matching, normalize, one
                                  pairs, profile, reports, results, rules, tables, telegrams)
 from tallybook.schemas import TRANSACTIONS
 from tallybook.session import configure, scratch_path
-from tallybook.sources import feeds, json_rows, scans
+from tallybook.sources import feeds, files, json_rows, scans, store
 from tallybook.streaming import cdc
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,17 +42,25 @@ def rounded(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({c: F.round(F.col(c), 6) for c in columns})
 
 
+# One account of the skewed feeds has a third of all rows, nineteen have the rest.
+FEW_ACCOUNTS = "CASE WHEN o_orderkey % 3 = 0 THEN 0 ELSE o_orderkey % 20 END"
+
+
 class Tables:
-    """The derived inputs of one table folder."""
+    """The derived inputs of one table folder; ``skewed``: with few accounts."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, skewed: bool = False):
         self.spark = configure(spark)
         self.sf_dir = sf_dir
+        self.skewed = skewed
         self._frames: dict[str, DataFrame] = {}
 
     def read(self, name: str) -> DataFrame:
         if name not in self._frames:
-            self._frames[name] = feeds.read_table(self.spark, self.sf_dir, name)
+            frame = feeds.read_table(self.spark, self.sf_dir, name)
+            if self.skewed and name == "orders":
+                frame = frame.withColumn("o_custkey", F.expr(FEW_ACCOUNTS))
+            self._frames[name] = frame
         return self._frames[name]
 
     @property
@@ -179,8 +187,7 @@ def _rule(rule: Callable[[], rules.Rule], *more: str) -> Callable[[Tables], Data
 
 
 def rules_tagged(t: Tables) -> DataFrame:
-    applied = rules.apply_rules(rules.standard_rules(), t.core, t.second())
-    return rules.tagged_pairs(applied).select(
+    return rules.tagged_standard(t.core, t.second()).select(
         "rule_name", "p_transaction_id", "s_transaction_id", "discrepancy_type")
 
 
@@ -270,6 +277,12 @@ def page_transactions(t: Tables) -> DataFrame:
     return pages.transactions_page(t.transactions(), "card_processor", *RANGE, limit=100, offset=20)
 
 
+def page_after(t: Tables) -> DataFrame:
+    """The page that follows a given row."""
+    return pages.transactions_page(t.transactions(), "card_processor", limit=100,
+                                   after=(datetime(1997, 3, 1), "CP-1"))
+
+
 def batch_summary(t: Tables) -> DataFrame:
     return _flat(rounded(pages.batch_summary(t.batches(), t.results(), A_BATCH), "match_rate"))
 
@@ -374,6 +387,62 @@ def cdc_stream_rejected(t: Tables) -> DataFrame:
     return t.spark.read.parquet(_streamed(t)[1]).select("offset", "reason")
 
 
+def month_orders(t: Tables) -> DataFrame:
+    """The month predicate on times of seven years, nearly all of which it drops."""
+    return telegrams.in_month(t.core.select(
+        "transaction_id", F.col("transaction_date").alias("DateIn")), 1997, 3)
+
+
+# -- round trips through files and tables ----------------------------------------------------
+
+def _core_csv(t: Tables) -> str:
+    path = scratch_path(t.spark, "csv")
+    store.export_csv(t.core, path)
+    return path
+
+
+def csv_read(t: Tables) -> DataFrame:
+    return files.read_csv(t.spark, _core_csv(t))
+
+
+def csv_inferred(t: Tables) -> DataFrame:
+    rows = files.read_csv_inferred(t.spark, _core_csv(t))
+    return rows.select("transaction_id", "transaction_date",
+                       F.col("amount").cast("decimal(18,2)").alias("amount"), "status")
+
+
+def csv_directory(t: Tables) -> DataFrame:
+    """Two feeds in one folder tree, of which one is asked for."""
+    root = scratch_path(t.spark, "csv-tree")
+    store.export_csv(t.core, f"{root}/core")
+    store.export_csv(t.second(), f"{root}/more/card")
+    return files.read_directory(t.spark, root, "card_processor")
+
+
+def store_table(t: Tables) -> DataFrame:
+    """Two loads into a partitioned table, read back with its partition column."""
+    kept = store.Store(scratch_path(t.spark, "store"))
+    for _ in range(2):
+        kept.load(t.telegrams, "telegrams")
+    return kept.read(t.spark, "telegrams")
+
+
+def saved_results(t: Tables) -> DataFrame:
+    """Results of one batch, written to the results table and read by its page query."""
+    kept = store.Store(scratch_path(t.spark, "results"))
+    kept.load(_batch_results(t, F.col("primary_transaction_date")).withColumn(
+        "reconciliation_timestamp", F.lit(AS_OF)), "reconciliation_results")
+    return pages.results_page(kept.read(t.spark, "reconciliation_results"), "RECON-1", "UNMATCHED",
+                              limit=200).select("reconciliation_id", "match_status", "notes")
+
+
+def granted_columns(t: Tables) -> DataFrame:
+    grants = t.spark.createDataFrame(
+        [("user-7", "id"), ("user-7", "DateIn"), ("user-7", "nothing"), ("user-8", "Body")],
+        "user_name string, column_name string")
+    return entitlements.granted_columns(t.telegrams, grants, "user-7")
+
+
 # -- entitlements --------------------------------------------------------------------------
 
 def granted_rows(t: Tables) -> DataFrame:
@@ -466,6 +535,23 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "cdc_stream": cdc_stream,
     "cdc_stream_rejected": cdc_stream_rejected,
     "granted_rows": granted_rows,
+    "granted_columns": granted_columns,
+    "month_orders": month_orders,
+    "csv_read": csv_read,
+    "csv_inferred": csv_inferred,
+    "csv_directory": csv_directory,
+    "store_table": store_table,
+    "saved_results": saved_results,
+    "page_after": page_after,
+}
+
+
+SKEWED: dict[str, Callable[[Tables], DataFrame]] = {
+    "hybrid_match_skewed": hybrid_match,
+    "fuzzy_best_skewed": fuzzy_best,
+    "greedy_skewed": greedy_one_to_one,
+    "rule_amount_skewed": QUERIES["rule_amount"],
+    "rule_date_skewed": QUERIES["rule_date"],
 }
 
 
@@ -473,4 +559,8 @@ def queries() -> dict[str, Query]:
     def bind(query: Callable[[Tables], DataFrame]) -> Query:
         return lambda spark, sf_dir: plain(query(Tables(spark, sf_dir)))
 
-    return {"flagship": flagship, **{name: bind(query) for name, query in QUERIES.items()}}
+    def bind_skewed(query: Callable[[Tables], DataFrame]) -> Query:
+        return lambda spark, sf_dir: plain(query(Tables(spark, sf_dir, skewed=True)))
+
+    return {"flagship": flagship, **{name: bind(query) for name, query in QUERIES.items()},
+            **{name: bind_skewed(query) for name, query in SKEWED.items()}}

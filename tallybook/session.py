@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 import tempfile
+import weakref
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -20,9 +22,30 @@ def configure(spark: SparkSession) -> SparkSession:
     for key, value in RUNTIME_CONF.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
+    ship_package(spark)
     return spark
 
 
+_SHIPPED: weakref.WeakSet = weakref.WeakSet()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Hand this package to the executors, whatever folder the driver was started in. Spark's own
+    file server takes it from the driver; it is a few hundred kilobytes, once a session."""
+    context = spark.sparkContext
+    if context in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="tallybook-"), "tallybook.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for folder, _, names in os.walk(root):
+            for name in sorted(n for n in names if n.endswith(".py")):
+                path = os.path.join(folder, name)
+                out.write(path, os.path.join("tallybook", os.path.relpath(path, root)))
+    context.addPyFile(archive)
+    _SHIPPED.add(context)
+
+
 def build_session(app: str, master: str | None = None, **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app).config("spark.ui.enabled", "false")
     if master:

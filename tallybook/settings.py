@@ -1,4 +1,4 @@
-"""Defaults of a reconciliation run, and the row limits that choose a physical plan."""
+"""Defaults of a reconciliation run, and how the nearest partner is searched."""
 
 from __future__ import annotations
 
@@ -17,19 +17,12 @@ class Settings:
     transactions_table: str = "source_transactions"
     results_table: str = "reconciliation_results"
     batches_table: str = "reconciliation_batches"
-    compaction_min_files: int = 5
-    compaction_target_bytes: int = 104857600
-
-    # Physical choices. An (account, type) group with more rows than this on either side is
-    # "hot": it is never gathered into one task but cut into amount x time cells.
-    hot_group_rows: int = 2000
-    # Hot groups are listed and broadcast only up to this many; beyond it every row takes
-    # the cell route, which needs no list.
-    max_listed_groups: int = 10000
-    # Radii (seconds) of the widening nearest-partner search inside hot groups.
+
+    # Secondary places of a cell as wide as the tolerance beyond which the search for the nearest
+    # partner starts with smaller radii. It changes the work, never the result.
+    crowded_cell: int = 64
+    # Radii (seconds) of the widening search.
     search_radii: tuple[int, ...] = (4, 64, 1024, 16384)
-    # One-to-one matching: the most rows one amount island may bring into one task.
-    max_island_rows: int = 20000
 
 
 DEFAULTS = Settings()

@@ -176,7 +176,9 @@ def change_messages(events: DataFrame) -> DataFrame:
     before = F.when(seq.isin(1, 2), image(i, here))
     after = F.when(seq.isin(0, 1, 6), image(
         F.when(seq != 6, i), F.when(seq == 1, here % 5 + 1).otherwise(here)))
-    op = F.when(seq == 1, "u").when(seq == 2, "d").otherwise("c")
+    # Some messages name no operation.
+    op = F.when(i % 37 == 5, F.when(seq == 2, "d")).when(seq == 1, "u").when(
+        seq == 2, "d").otherwise("c")
     envelope = F.to_json(F.struct(F.struct(
         before.alias("before"), after.alias("after"), op.alias("op")).alias("payload")))
     value = (F.when(seq == 3, F.lit("this is not json"))

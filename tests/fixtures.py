@@ -122,12 +122,37 @@ def brute_force(ps, ss, exact, fuzzy):
     return sorted(out, key=str)
 
 
-def greedy(ps, ss, tolerance=Decimal("1.00")):
-    free, pairs = sorted(ss, key=lambda s: s[0]), []
-    for p in sorted(ps, key=lambda p: p[0]):
-        for s in free:
-            if _equal(p[1], s[1]) and None not in (p[3], s[3]) and abs(p[3] - s[3]) <= tolerance:
-                pairs.append((p[0], s[0]))
-                free.remove(s)
-                break
+def one_to_one(ps, ss, tolerance=100):
+    """Pairs of the four-step rule."""
+    left = {side: [(r[1], int(r[3] * 100), r[0]) for r in rows if None not in (r[0], r[1], r[3])]
+            for side, rows in (("p", ps), ("s", ss))}
+    pairs = []
+
+    def step(cell, order):
+        groups = {}
+        for side in "ps":
+            for row in left[side]:
+                groups.setdefault((row[0], cell(row[1])), {"p": [], "s": []})[side].append(row)
+        left["p"], left["s"] = [], []
+        for group in groups.values():
+            for rows in group.values():
+                rows.sort(key=order)
+            n = min(len(group["p"]), len(group["s"]))
+            for a, b in zip(group["p"][:n], group["s"][:n], strict=True):
+                if abs(a[1] - b[1]) <= tolerance:
+                    pairs.append((a[2], b[2]))
+                else:
+                    left["p"].append(a)
+                    left["s"].append(b)
+            for side in "ps":
+                left[side] += group[side][n:]
+
+    step(lambda c: c, lambda r: r[2])
+    step(lambda c: c // 100, lambda r: (r[1], r[2]))
+    for shift in (0, 1):
+        def couple(c, shift=shift):
+            return (c // 100 + shift) // 2
+
+        step(couple, lambda r, f=couple, shift=shift: (
+            abs(r[1] - (2 * f(r[1]) + 1 - shift) * 100), r[2]))
     return sorted(pairs)

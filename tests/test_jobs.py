@@ -141,3 +141,16 @@ def test_telegram_analysis(spark):
     frame = spark.createDataFrame(rows, TELEGRAMS)
     assert telegrams.in_month(frame, 2024, 2).count() == 20
     assert telegrams.in_month(frame, 2023, 12).count() == 0
+
+
+def test_drawn_batch_ids_are_long(spark, store):
+    run = jobs.reconcile(spark, store, SOURCES, now=NOW, strategy="exact")
+    assert len(run.batch_id) == len("RECON-") + 36
+
+
+def test_package_is_shipped_once(spark):
+    from tallybook.session import ship_package
+    ship_package(spark)
+    before = list(spark.sparkContext._python_includes)
+    ship_package(spark)
+    assert spark.sparkContext._python_includes == before and "tallybook.zip" in before

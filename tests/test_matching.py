@@ -5,16 +5,15 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallybook.operators import matching, pairs, results
-from tallybook.operators.skew import distributed_rank, split_hot
+from tallybook.operators.skew import distributed_rank
 from tallybook.settings import DEFAULTS
 from tests import fixtures as fx
 
-# Every group fits; some groups are cut up; all groups are; more hot groups than may be listed.
+# The search starts with the whole tolerance, with small radii, or with radii where it is crowded.
 ROUTES = {
-    "plain": DEFAULTS,
-    "mixed": dataclasses.replace(DEFAULTS, hot_group_rows=40),
-    "cut_up": dataclasses.replace(DEFAULTS, hot_group_rows=0),
-    "overflow": dataclasses.replace(DEFAULTS, hot_group_rows=1, max_listed_groups=2),
+    "wide": dataclasses.replace(DEFAULTS, crowded_cell=10 ** 9),
+    "radii": dataclasses.replace(DEFAULTS, crowded_cell=0),
+    "default": DEFAULTS,
 }
 
 
@@ -35,7 +34,7 @@ def crowd(spark):
     return ps, ss, fx.frame(spark, ps).cache(), fx.frame(spark, ss).cache()
 
 
-@pytest.mark.parametrize("route", ["plain", "cut_up"])
+@pytest.mark.parametrize("route", ["wide", "radii"])
 @pytest.mark.parametrize("strategy", matching.STRATEGIES)
 def test_edge_rows_against_brute_force(edge, route, strategy):
     ps, ss, p, s = edge
@@ -44,8 +43,7 @@ def test_edge_rows_against_brute_force(edge, route, strategy):
 
 
 @pytest.mark.parametrize("strategy,route", [
-    ("exact", "plain"), ("exact", "cut_up"), ("fuzzy", "plain"), ("fuzzy", "mixed"),
-    ("fuzzy", "cut_up"), *[("hybrid", route) for route in ROUTES]])
+    ("exact", "default"), *[(x, route) for x in ("fuzzy", "hybrid") for route in ROUTES]])
 def test_crowd_against_brute_force(crowd, strategy, route):
     ps, ss, p, s = crowd
     found = matching.outcomes(p, s, strategy, ROUTES[route])
@@ -84,7 +82,7 @@ def test_unknown_strategy(edge):
         matching.match_transactions(edge[2], edge[3], "best")
 
 
-@pytest.mark.parametrize("route", ["plain", "mixed", "cut_up"])
+@pytest.mark.parametrize("route", ROUTES)
 def test_star_equals_separate_runs(spark, route):
     ps, ss = fx.random_rows(3, 80, 4)
     _, more = fx.random_rows(4, 80, 4)
@@ -110,40 +108,49 @@ def test_exact_pairs_and_unmatched_rows(crowd):
         r[0] for r in ps if r[0] not in hit)
 
 
-@pytest.mark.parametrize("route", ROUTES)
-def test_candidates_against_brute_force(crowd, route):
+def test_candidates_against_brute_force(crowd):
     ps, ss, p, s = crowd
-    found = pairs.fuzzy_candidates(p, s, settings=ROUTES[route])
+    found = pairs.fuzzy_candidates(p, s)
     assert ids(found) == sorted((a[0], b[0]) for a in ps for b in ss if fx.near(a, b))
     scores = {(r[0], r[1]): r["match_score"] for r in found.collect()}
     by_id = {r[0]: r for r in ps + ss}
     assert all(abs(v - fx.score(by_id[a], by_id[b])) < 1e-12 for (a, b), v in scores.items())
 
 
-def test_other_tolerances(crowd):
+@pytest.mark.parametrize("tolerance", ["0.3", "0.7", "1.5"])
+def test_other_tolerances(crowd, tolerance):
     ps, ss, p, s = crowd
-    for route in ("plain", "cut_up"):
-        st = dataclasses.replace(ROUTES[route], amount_tolerance=Decimal("0.3"),
-                                 date_tolerance_seconds=0)
-        found = pairs.fuzzy_candidates(p, s, Decimal("0.3"), 0, st)
-        assert ids(found) == sorted((a[0], b[0]) for a in ps for b in ss
-                                    if fx.near(a, b, Decimal("0.3"), 0))
+    wide = Decimal(tolerance)
+    found = pairs.fuzzy_candidates(p, s, wide, 0)
+    expected = sorted((a[0], b[0]) for a in ps for b in ss if fx.near(a, b, wide, 0))
+    assert ids(found) == expected
+    for route in ("wide", "radii"):
+        st = dataclasses.replace(ROUTES[route], amount_tolerance=wide, date_tolerance_seconds=0)
         best = matching.match_transactions(p, s, "fuzzy", st).matched
-        assert best.count() == len({a for a, _ in ids(found)})
+        assert best.count() == len({a for a, _ in expected})
 
 
-def test_split_finds_hot_groups(crowd):
-    _, _, p, s = crowd
-    cold, hot = split_hot(p, s, pairs.GROUP, ROUTES["mixed"])
-    assert {r[0] for r in hot.primary.select("account_id").distinct().collect()} == {"HOT"}
-    assert cold.primary.count() + hot.primary.count() == p.count()
-    assert cold.secondary.count() + hot.secondary.count() == s.count()
+@pytest.mark.parametrize("route", ROUTES)
+def test_repeated_and_missing_ids(spark, route):
+    """A record is its id: paired in one row, it is left over in none, whatever its group."""
+    ps = [fx.row("P1", "A"), fx.row("P1", "Z"), fx.row("P2", "B", amount="50.00"),
+          fx.row("P2", "B", amount="50.20"), fx.row(None, "N"), fx.row(None, "Q"),
+          fx.row("P3", "C", status="failed")]
+    ss = [fx.row("S1", "A"), fx.row("S1", "B", amount="7.00"), fx.row("S2", "B", amount="50.10"),
+          fx.row(None, "N"), fx.row(None, "R"), fx.row("S4", "C"), fx.row("S4", "Y")]
+    found = matching.outcomes(fx.frame(spark, ps), fx.frame(spark, ss), settings=ROUTES[route])
+    rows = sorted(((r["primary_transaction_id"], r["secondary_transaction_id"], r["account_id"],
+                    r["outcome"]) for r in found.collect()), key=str)
+    assert rows == sorted([
+        ("P1", "S1", "A", "PAIR"), ("P2", "S2", "B", "PAIR"), ("P3", "S4", "C", "PAIR"),
+        (None, None, "N", "PAIR"), (None, None, "Q", "PRIMARY_ONLY"),
+        (None, None, "R", "SECONDARY_ONLY")], key=str)
 
 
 def test_distributed_rank(spark):
     rows = [("g" if i % 3 else "h", f"{i:05d}") for i in range(999)]
     df = spark.createDataFrame(rows, "g string, id string").repartition(7)
-    found = sorted(tuple(r) for r in distributed_rank(df, ["g"], "id", "rank").collect())
+    found = sorted(tuple(r) for r in distributed_rank(df, ["g"], ["id"], "rank").collect())
     expected = []
     for g in "gh":
         expected += [(g, i, n) for n, i in enumerate(sorted(i for k, i in rows if k == g), 1)]

@@ -28,10 +28,10 @@ def test_no_cross_joins(spark, name):
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
 
 
-def test_hybrid_matching_takes_one_exchange_and_one_sort(t):
-    text = plan(matching.outcomes(t.core, t.second()))
-    assert len(re.findall(r"Exchange hashpartitioning", text)) == 1
-    assert len(re.findall(r"Sort \[", text)) == 1 and " Join" not in text
+def test_rules_take_three_joins(spark):
+    text = plan(queries()["rules_tagged"](spark, SF))
+    assert len(re.findall(r"(?:SortMerge|ShuffledHash|BroadcastHash)Join", text)) == 3
+    assert len(re.findall(r"Scan parquet", text)) <= 6
 
 
 def test_matching_reads_only_what_it_needs(t):
@@ -54,6 +54,11 @@ def test_top_k_instead_of_sort(spark):
     assert "TakeOrderedAndProject" in plan(queries()["page_transactions"](spark, SF))
 
 
+def test_a_page_takes_no_more_rows_than_it_shows(spark):
+    text = plan(queries()["page_after"](spark, SF))
+    assert [int(n) for n in re.findall(r"TakeOrderedAndProject\(limit=(\d+)", text)] == [100]
+
+
 def test_source_report_explodes_sums_not_results(t):
     results = t.results()
     text = plan(reports.by_source_system(results, t.batches()))

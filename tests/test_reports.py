@@ -106,3 +106,21 @@ def test_batch_summary(results, batches):
     assert (r["status"], r["match_rate"]) == ("COMPLETED", 0.5)
     assert pages.batch_summary(batches, results, "b3").first()["match_rate"] == 0.0
     assert pages.batch_summary(batches, results, "b9").count() == 0
+
+
+def test_pages_go_on_after_a_row(results, batches):
+    whole = rows(pages.results_page(results, "b2"))
+    first = pages.results_page(results, "b2", limit=3).collect()
+    seen, last = [tuple(r) for r in first], first[-1]
+    while True:
+        page = pages.results_page(results, "b2", limit=3, after=(
+            last["reconciliation_timestamp"], last["reconciliation_id"])).collect()
+        if not page:
+            break
+        seen += [tuple(r) for r in page]
+        last = page[-1]
+    assert seen == whole
+    with pytest.raises(ValueError, match="go on after"):
+        pages.results_page(results, "b2", offset=10_001)
+    assert [r["batch_id"] for r in pages.batches_page(
+        batches, after=(T0 + timedelta(days=2), "b2")).collect()] == ["b3", "b1"]
