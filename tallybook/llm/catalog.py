@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybook.llm import bpe, chat, contamination, imatch, jaccard, language, passages, suffix_tree, toxicity, warc
+from tallybook.llm import bpe, chat, contamination, imatch, jaccard, language, oracles, passages, suffix_tree, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 VOCABULARY_FILE = "byte_bpe_multi_50k.tiktoken"
@@ -102,7 +102,8 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near duplicates by word shingles: the component of every document."""
-    return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_shingles", "component_id")
 
 
 QUERIES: dict[str, Query] = {
@@ -118,4 +119,4 @@ QUERIES: dict[str, Query] = {
     "op10_ngram_jaccard": op10_ngram_jaccard,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = dict(oracles.SQL)

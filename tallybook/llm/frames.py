@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from tallybook.session import shared_dir
+from tallybook.session import shared_dir, ship_package
 
 # Bytes of an Arrow batch between Spark and Python, and of text in a block.
 BATCH_BYTES = 4 << 20
@@ -26,7 +26,9 @@ BLOCK_BYTES = 8 << 20
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Bound Arrow batches by bytes, so that long texts don't pile up in a worker."""
+    """Bound Arrow batches by bytes, so that long texts don't pile up in a worker, and let the
+    workers import this package."""
+    ship_package(spark)
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return spark
 
