@@ -140,6 +140,13 @@ def _earlier(asks: list[list[np.ndarray]]) -> list[bytes]:
     return out
 
 
+def _characters(hashes: np.ndarray) -> str:
+    """One character a word, of 6 bits of its hash: the automaton finds the next state among a
+    node's children one by one, so they should be few. A phrase has over 150 bits that way, and
+    one found by mistake only asks more."""
+    return (hashes & U64(63)).astype(np.uint8).tobytes().decode("latin-1")
+
+
 def _windows(batch: pa.RecordBatch, told: dict[int, list[np.ndarray]], text: str, doc_id: str,
              size: int, n_buckets: int) -> Iterator[tuple[str, int, bytes]]:
     """Locate the block's recurring phrases by an automaton and ask about the windows around."""
@@ -155,10 +162,10 @@ def _windows(batch: pa.RecordBatch, told: dict[int, list[np.ndarray]], text: str
         return
     ids = _ids(batch.column(batch.schema.get_field_index(doc_id)))
     phrase = _phrase_words(size)
-    automaton = ahocorasick.Automaton(ahocorasick.STORE_LENGTH, ahocorasick.KEY_SEQUENCE)
+    automaton = ahocorasick.Automaton(ahocorasick.STORE_LENGTH)
     slices = [(i, words.tokenize(data, offsets, words.PLAIN)) for i, _, data, offsets in
               words.sliced(batch.column(batch.schema.get_field_index(text)))]
-    symbols = [(found.hashes & U64(0x7FFFFFFF)).tolist() for _, found in slices]
+    symbols = [_characters(found.hashes) for _, found in slices]
     added = np.zeros(len(wanted), bool)
     for (_, found), symbol in zip(slices, symbols, strict=True):
         at, hashes = _phrases(found, size)
@@ -166,7 +173,7 @@ def _windows(batch: pa.RecordBatch, told: dict[int, list[np.ndarray]], text: str
         for p, k in zip(at[place >= 0].tolist(), place[place >= 0].tolist(), strict=True):
             if not added[k]:
                 added[k] = True
-                automaton.add_word(tuple(symbol[p:p + phrase]))
+                automaton.add_word(symbol[p:p + phrase])
     automaton.make_automaton()
     keys, owners = [], []
     for (i, found), symbol in zip(slices, symbols, strict=True):
@@ -174,7 +181,7 @@ def _windows(batch: pa.RecordBatch, told: dict[int, list[np.ndarray]], text: str
         if not len(starts):
             continue
         near = np.zeros(len(found.starts) + 1, np.int64)
-        ends = np.fromiter((end for end, _ in automaton.iter(tuple(symbol))), np.int64)
+        ends = np.fromiter((end for end, _ in automaton.iter(symbol)), np.int64)
         # A window holds the phrase if it starts up to size - phrase words before it.
         np.add.at(near, np.maximum(ends + 1 - size, 0), 1)
         np.add.at(near, ends + 2 - phrase, -1)
