@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybook.llm import bpe, chat, contamination, imatch, jaccard, language, oracles, passages, suffix_tree, toxicity, warc
+from tallybook.llm import (bpe, chat, contamination, imatch, jaccard, language, oracles, passages,
+                           suffix_tree, toxicity, warc)
 
 Query = Callable[[SparkSession, str], DataFrame]
 VOCABULARY_FILE = "byte_bpe_multi_50k.tiktoken"

@@ -153,8 +153,10 @@ def joined(spans: str) -> Column:
     """Spans in order, those that touch or overlap made one."""
     def add(done, span):
         last = F.try_element_at(done, F.lit(-1))
-        longer = F.concat(F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0))), F.array(F.struct(
-            last["start"].alias("start"), F.greatest(last["end"], span["end"]).alias("end"))))
+        grown = F.struct(last["start"].alias("start"),
+                         F.greatest(last["end"], span["end"]).alias("end"))
+        before = F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0)))
+        longer = F.concat(before, F.array(grown))
         return F.when(span["start"] <= last["end"], longer).otherwise(
             F.concat(done, F.array(span)))
 

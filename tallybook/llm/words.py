@@ -97,7 +97,7 @@ def texts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         return np.empty(0, np.uint8), np.zeros(1, np.int64)
     _, offsets, data = column.buffers()
     offsets = np.frombuffer(offsets, kind)[column.offset:column.offset + len(column) + 1]
-    data = np.frombuffer(data, np.uint8) if data is not None and data.size else np.empty(0, np.uint8)
+    data = np.frombuffer(data if data is not None else b"", np.uint8)
     return data[offsets[0]:offsets[-1]], offsets.astype(np.int64) - int(offsets[0])
 
 
