@@ -47,7 +47,9 @@ def ship_package(spark: SparkSession) -> None:
 
 
 def build_session(app: str, master: str | None = None, **conf: str) -> SparkSession:
-    builder = SparkSession.builder.appName(app).config("spark.ui.enabled", "false")
+    builder = (SparkSession.builder.appName(app).config("spark.ui.enabled", "false")
+               # Checkpoints go when nothing refers to them any more.
+               .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true"))
     if master:
         builder = builder.master(master)
     for key, value in conf.items():
@@ -55,6 +57,22 @@ def build_session(app: str, master: str | None = None, **conf: str) -> SparkSess
     return configure(builder.getOrCreate())
 
 
+def size_shuffles(df: DataFrame) -> int:
+    """Let shuffles start with as many partitions as the table has bytes for: two a task that reads
+    it, no fewer than the session's own number. AQE joins those that turn out small."""
+    spark = df.sparkSession
+    wanted = max(int(spark.conf.get("spark.sql.shuffle.partitions")),
+                 2 * df.rdd.getNumPartitions())
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(wanted))
+    return wanted
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a written intermediate table, wherever its file system is."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share. The cluster names it in spark.checkpoint.dir; only a
     session without that setting (a local test) falls back to a fresh temporary folder."""

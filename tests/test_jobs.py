@@ -143,6 +143,45 @@ def test_telegram_analysis(spark):
     assert telegrams.in_month(frame, 2023, 12).count() == 0
 
 
+def test_the_same_jobs_on_catalog_tables(spark, store, run):
+    from tallybook.sources.store import CatalogStore, add_columns, create_tables
+    create_tables(spark, "jobs_db")
+    st = CatalogStore(spark, "jobs_db")
+    ps, ss = fx.random_rows(22, 60, 5)
+    st.load(fx.frame(spark, ps + ss), "source_transactions")
+    for _ in range(2):
+        again = jobs.reconcile(spark, st, SOURCES, start=fx.T0 - timedelta(days=1), now=NOW,
+                               batch_id="RECON-1")
+        assert again == run
+
+    def ids(s):
+        return sorted(r[0] for r in s.read(spark, "reconciliation_results").filter(
+            "batch_id = 'RECON-1'").select("reconciliation_id").collect())
+
+    assert ids(st) == ids(store)
+    assert jobs.get_batch(spark, st, "RECON-1").first()["status"] == "COMPLETED"
+    add_columns(spark, "jobs_db.source_transactions", {"checked": "STRING"})
+    assert "checked" in jobs.list_transactions(spark, st, "core_banking").columns
+    report = spark.createDataFrame([("MATCHED", 1)], ["match_status", "n"])
+    st.save_report(report, "weekly", F.lit(datetime(2024, 1, 1)))
+    assert jobs.historical_report(spark, st, "weekly", datetime(2023, 1, 1)).count() == 0
+    with pytest.raises(ValueError, match="is none of"):
+        st.load(fx.frame(spark, ps), "source_transactions", "ignore")
+
+
+def test_reads_as_of_a_moment(spark, tmp_path):
+    st = Store(str(tmp_path))
+    old = fx.frame(spark, [fx.row("a")]).withColumn("created_at", F.lit(fx.T0))
+    new = fx.frame(spark, [fx.row("b")]).withColumn("created_at", F.lit(NOW))
+    for part in (old, new):
+        st.load(part, "source_transactions")
+    then = jobs.list_transactions(spark, st, as_of=fx.T0)
+    assert [r["transaction_id"] for r in then.collect()] == ["a"]
+    # What came after the moment is not known to a load as of then, so it is taken again.
+    jobs.load_new(st, new, "core_banking", as_of=fx.T0)
+    assert jobs.list_transactions(spark, st).count() == 3
+
+
 def test_drawn_batch_ids_are_long(spark, store):
     run = jobs.reconcile(spark, store, SOURCES, now=NOW, strategy="exact")
     assert len(run.batch_id) == len("RECON-") + 36
@@ -154,3 +193,17 @@ def test_package_is_shipped_once(spark):
     before = list(spark.sparkContext._python_includes)
     ship_package(spark)
     assert spark.sparkContext._python_includes == before and "tallybook.zip" in before
+
+
+def test_shuffles_follow_the_input(spark, tmp_path):
+    from tallybook.session import remove_path, size_shuffles
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    path = str(tmp_path / "t")
+    spark.range(100).repartition(9).write.parquet(path)
+    try:
+        assert size_shuffles(spark.read.parquet(path)) >= 4
+        assert size_shuffles(spark.range(100).repartition(9)) == 18 == int(spark.conf.get(key))
+    finally:
+        spark.conf.unset(key)
+    remove_path(spark, path)
+    assert not (tmp_path / "t").exists()
