@@ -1,10 +1,12 @@
 """I-Match document fingerprints, with DataFrame functions only.
 
 The lexicon is the terms whose document frequency lies in a band; a text's fingerprint is one hash
-for each of several random subsets of the lexicon, of the text's sorted distinct terms in that
-subset. Subsets of several densities serve short and long texts: a sparse subset of a long text has
-as few terms as a dense one of a short text. The likeness of two fingerprints is the share of equal
-hashes among the subsets that either text has terms of.
+for each of several random subsets of the lexicon, of the text's distinct terms in that subset. That
+hash is the exclusive-or of the terms' hashes: terms being distinct, it is the same in any order, so
+Spark adds it up in fixed space where a sorted list would have to be collected and spilled. Subsets
+of several densities serve short and long texts: a sparse subset of a long text has as few terms as
+a dense one of a short text. The likeness of two fingerprints is the share of equal hashes among the
+subsets that either text has terms of.
 
 A text without any term of the lexicon has one hash, of all its distinct terms, and is like only
 texts with the same. Null text is empty text. Equal texts have equal fingerprints.
@@ -22,11 +24,12 @@ from pyspark.sql import functions as F
 from tallybook.llm.frames import partitions, stored
 
 # Shares of all texts that a term of the lexicon is in.
-DF_FROM, DF_TO = 0.002, 0.15
-# A subset keeps one of 2, 4, 8, ... terms; this many subsets of each density.
+DF_FROM, DF_TO = 0.002, 0.1
+# Density d deals the lexicon into 2**d subsets at random, of which the first ``EACH`` are used.
 DENSITIES, EACH = 8, 6
-SUBSETS = DENSITIES * EACH
-LEXICON_ROWS = 500_000
+FIRST = [sum(min(EACH, 2 << k) for k in range(d)) for d in range(DENSITIES + 1)]
+SUBSETS = FIRST[-1]
+LEXICON_ROWS = 1_000_000
 # Ranges of ids whose texts are sorted together: at most FAN squared.
 FAN = 128
 
@@ -44,25 +47,12 @@ def lexicon(texts: DataFrame, text: str = "text", df_from: float = DF_FROM,
     counts = texts.select(F.explode(term_ids(F.col(text))).alias("term")).groupBy("term").agg(
         F.count("*").alias("df"))
     bits = F.lit(0).cast("long")
-    for k in range(SUBSETS):
-        density = 2 << (k // EACH)
-        drawn = F.pmod(F.xxhash64("term", F.lit(k)), F.lit(density)) == 0
-        bits = bits.bitwiseOR(F.when(drawn, F.lit(1 << k)).otherwise(F.lit(0)).cast("long"))
-    return stored(counts.filter(F.col("df").between(df_from * n, df_to * n))
-                  .select("term", bits.alias("subsets")), "lexicon")
-
-
-def subset_hashes(terms: Column, everything: Column) -> Column:
-    """A hash for each subset; null where the text has no term of it. ``terms``: a sorted array of
-    (term, subsets); ``everything``: stands in if that is empty."""
-
-    def members(k: int) -> Column:
-        return F.filter(terms, lambda t: t["subsets"].bitwiseAND(F.lit(1 << k)) != 0)
-
-    found = [members(k) for k in range(SUBSETS)]
-    hashes = F.array(*[F.when(F.size(f) > 0, F.xxhash64(F.transform(f, lambda t: t["term"])))
-                       for f in found])
-    return F.when(F.size(terms) > 0, hashes).otherwise(F.array(everything))
+    for d in range(DENSITIES):
+        drawn = f"cast(pmod(xxhash64(term, {d}), {2 << d}) as int)"
+        bits = bits.bitwiseOR(F.expr(
+            f"if({drawn} < {EACH}, shiftleft(1L, {FIRST[d]} + {drawn}), 0L)"))
+    return stored(counts.filter(F.col("df").between(df_from * n, df_to * n)).select(
+        "term", bits.alias("subsets")), "lexicon")
 
 
 def fingerprint(hashes: Column) -> Column:
@@ -141,44 +131,60 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
     if terms.count() <= LEXICON_ROWS:
         terms = F.broadcast(terms)
     rows = in_order(docs)
-    n = F.char_length("text")
-    quarter = F.floor(n / 4).cast("int")
-    edited = F.concat(F.expr("substring(text, 1, char_length(text) - char_length(text) div 4)"),
-                      F.expr("substring(next_text, 1, char_length(text) div 4)"))
+    edited = F.expr("concat(substring(text, 1, char_length(text) - char_length(text) div 4), "
+                    "substring(next_text, 1, char_length(text) div 4))")
     rows = rows.withColumn("edited", F.when(~F.col("guest"), edited)).withColumns({
         "own_terms": term_ids(F.col("text")),
-        "edited_terms": F.when(~F.col("guest"), term_ids(F.col("edited")))})
+        "edited_terms": F.when(~F.col("guest"), term_ids(F.col("edited"))),
+        "n_chars": F.char_length("text").cast("long"), "digest": F.sha2("edited", 256)})
 
+    # An entry for each term of either text, and one a text that brings the row's other values, all
+    # of fixed size, so that everything below is a hash aggregation.
     def entries(column: str, version: int) -> Column:
-        return F.transform(F.coalesce(F.col(column), F.array().cast("array<bigint>")),
-                           lambda t: F.struct(F.lit(version).alias("version"), t.alias("term")))
-
-    # One entry for each term of either text, and one that brings the row's other values along.
-    carrier = F.array(F.struct(F.lit(2).alias("version"), F.lit(None).cast("long").alias("term")))
-    about = F.struct(
-        "doc_id", "guest", n.cast("long").alias("n_chars"),
-        F.sha2("edited", 256).alias("edited_sha256"),
-        F.xxhash64(F.array_sort("own_terms")).alias("own_all"),
-        F.xxhash64(F.array_sort("edited_terms")).alias("edited_all"))
-    spread = rows.select("bucket", "place", about.alias("about"), F.explode(F.concat(
-        carrier, entries("own_terms", 0), entries("edited_terms", 1))).alias("entry"))
-    spread = spread.select("bucket", "place", "entry.*", F.when(
-        F.col("entry.version") == 2, F.col("about")).alias("about"))
+        terms_ = F.coalesce(F.col(column), F.array().cast("array<bigint>"))
+        none = F.array(F.struct(F.lit(version).alias("version"),
+                                F.lit(None).cast("long").alias("term")))
+        return F.concat(none, F.transform(terms_, lambda t: F.struct(
+            F.lit(version).alias("version"), t.alias("term"))))
+
+    quarters = [F.conv(F.substring("digest", 1 + 16 * k, 16), 16, -10).cast("long")
+                for k in range(4)]
+    spread = rows.select(
+        "bucket", "place", "doc_id", "guest", "n_chars",
+        F.xxhash64(F.array_sort("own_terms")).alias("all0"),
+        F.xxhash64(F.array_sort("edited_terms")).alias("all1"),
+        *[q.alias(f"q{k}") for k, q in enumerate(quarters)],
+        F.explode(F.concat(entries("own_terms", 0), entries("edited_terms", 1))).alias("entry"))
+    carried = F.col("entry.term").isNull()
+    spread = spread.select(
+        "bucket", "place", "entry.*", *[F.when(carried, F.col(c)).alias(c) for c in (
+            "doc_id", "guest", "n_chars", "q0", "q1", "q2", "q3")],
+        F.when(carried, F.when(F.col("entry.version") == 0, F.col("all0")).otherwise(
+            F.col("all1"))).alias("everything"))
     found = spread.join(terms, "term", "left").filter(
-        (F.col("version") == 2) | F.col("subsets").isNotNull())
-
-    def of(version: int) -> Column:
-        return F.sort_array(F.collect_list(
-            F.when(F.col("version") == version, F.struct("term", "subsets"))))
-
-    grouped = found.groupBy("bucket", "place").agg(
-        F.first("about", ignorenulls=True).alias("about"), of(0).alias("own"), of(1).alias("new"))
-    hashed = grouped.select(
-        "bucket", "place", "about.*",
-        subset_hashes(F.col("own"), F.col("about.own_all")).alias("own"),
-        subset_hashes(F.col("new"), F.col("about.edited_all")).alias("new"))
-    after = F.lead("own").over(Window.partitionBy("bucket").orderBy("place"))
-    return hashed.withColumn("after", after).filter(~F.col("guest")).select(
+        F.col("term").isNull() | F.col("subsets").isNotNull())
+
+    def subset(k: int) -> Column:
+        return F.bit_xor(F.when(F.col("subsets").bitwiseAND(F.lit(1 << k)) != 0,
+                                F.xxhash64("term"))).alias(f"h{k}")
+
+    # A text's rows lie in one partition already: neither the sums nor the window is an exchange.
+    texts = found.groupBy("bucket", "place", "version").agg(
+        *[F.max(c).alias(c) for c in ("doc_id", "guest", "n_chars", "everything",
+                                      "q0", "q1", "q2", "q3")],
+        *[subset(k) for k in range(SUBSETS)])
+    each = [F.col(f"h{k}") for k in range(SUBSETS)]
+    texts = texts.select(
+        "bucket", "place", "version", "doc_id", "guest", "n_chars",
+        F.concat(*[F.lpad(F.lower(F.hex(f"q{k}")), 16, "0") for k in range(4)]
+                 ).alias("edited_sha256"),
+        F.when(F.coalesce(*each).isNotNull(), F.array(*each)).otherwise(
+            F.array("everything")).alias("own"))
+    # A document's own text, its edited text, and the next document's own text follow each other.
+    following = Window.partitionBy("bucket").orderBy("place", "version")
+    pairs = texts.withColumns({"new": F.lead("own", 1).over(following),
+                               "after": F.lead("own", 2).over(following)})
+    return pairs.filter((F.col("version") == 0) & ~F.col("guest")).select(
         "doc_id", "n_chars", "edited_sha256", fingerprint(F.col("own")).alias("fingerprint"),
         fingerprint(F.col("new")).alias("edited_fingerprint"),
         likeness(F.col("own"), F.col("new")).alias("near_edited"),
