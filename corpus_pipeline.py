@@ -1,7 +1,8 @@
 """From raw documents to tokens: five stages, each on all that the one before has kept.
 
 Each stage is (spark, docs, table folder) -> DataFrame and returns the columns of ``docs`` but for
-the last; ``run`` writes every stage's result to the shared folder and reads it again.
+the last; ``run`` writes every stage's result to the shared folder, reads it again, and deletes what
+was written before it.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallybook.llm import bpe, contamination, jaccard, language, passages
-from tallybook.llm.frames import stored
+from tallybook.llm.frames import release, stored, written
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 VOCABULARY_FILE = "byte_bpe_multi_50k.tiktoken"
@@ -99,6 +100,9 @@ ORACLE_SQL: str | None = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    start = written()
     for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), f"stage-{name}")
+        # What led to this result, the result before included, is of no more use.
+        release(spark, start, keep=docs)
     return STAGES[-1][1](spark, docs, sf_dir)

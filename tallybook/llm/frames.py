@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from tallybook.session import shared_dir, ship_package
+from tallybook.session import remove_path, shared_dir, ship_package
 
 # Bytes of an Arrow batch between Spark and Python, and of text in a block.
 BATCH_BYTES = 4 << 20
@@ -38,9 +38,29 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
     df.write.parquet(path)
+    _WRITTEN.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+# Tables that ``stored`` has written, oldest first.
+_WRITTEN: list[str] = []
+
+
+def written() -> int:
+    """A mark for ``release``: how many tables have been written so far."""
+    return len(_WRITTEN)
+
+
+def release(spark: SparkSession, since: int, keep: DataFrame | None = None) -> None:
+    """Delete the tables written since a mark, once what was made of them is written too. ``keep``
+    is a table that ``stored`` gave, which stays."""
+    kept = {os.path.basename(os.path.dirname(f)) for f in keep.inputFiles()} if keep else set()
+    for path in _WRITTEN[since:]:
+        if os.path.basename(path) not in kept:
+            remove_path(spark, path)
+            _WRITTEN.remove(path)
+
+
 def without(df: DataFrame, names: Iterable[str]) -> DataFrame:
     """Drop columns whose names would clash with new ones, whatever their case."""
     clash = {n.lower() for n in names}

@@ -16,7 +16,7 @@ import corpus_pipeline  # noqa: E402
 from __spark_entry__ import oracle_sql, queries  # noqa: E402
 from check import compare  # noqa: E402
 from tallybook.llm import catalog  # noqa: E402
-from tallybook.llm.frames import ship_package  # noqa: E402
+from tallybook.llm.frames import release, ship_package, stored, written  # noqa: E402
 from tests.llm import plain  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
@@ -89,6 +89,15 @@ def test_pipeline_against_a_plain_one(spark):
     assert 0 < len(want) < len(rows)
 
 
+def test_release_keeps_one_table(spark):
+    start = written()
+    tables = [stored(spark.range(n + 1), f"t{n}") for n in range(3)]
+    release(spark, start, keep=tables[1])
+    assert written() == start + 1 and tables[1].count() == 2
+    release(spark, start)
+    assert written() == start
+
+
 def test_stages_bear_odd_documents(spark, odd_docs, no_docs):
     for docs in (odd_docs.withColumn("n_chars", F.char_length("text")), no_docs):
         for _, stage in corpus_pipeline.STAGES[:-1]:
