@@ -6,12 +6,15 @@ the rarest first, and only a prefix is indexed: two sets that are similar enough
 meet by shingle, as packed arrays, and the sets behind them are compared only at the end:
 
 1. a sketch counts all shingles, so that common ones come last in every set;
-2. prefixes go to buckets by shingle; a bucket gives its *runs*, the groups that share a shingle;
-   shingles with the very same run count as one run of that weight;
-3. star round: each member is compared with one leader, the group it shares most with; verified
-   links give components;
+2. prefixes go to buckets by shingle; a bucket gives its *runs*, the groups that share a shingle.
+   How far a shingle is from the start of a set limits the size of a partner that it can lead to,
+   and a run keeps only groups that the shingle can lead to one another; shingles with the very
+   same run count as one run of that weight;
+3. star round: each group is compared with one leader, the most widely shared group of the runs it
+   shares most with; verified links give components;
 4. rest round: members of different components that share enough in their runs are compared pair by
-   pair. What is already connected needs no further link, so a large group of near copies costs one
+   pair, unless the parity bits of their sets already differ in more places than similar sets can.
+   What is already connected needs no further link, so a large group of near copies costs one
    comparison each, and still no link between components is lost.
 
 Comparisons bring a leader's set and a bounded number of members together; sets travel only for
@@ -30,7 +33,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallybook.llm import words
@@ -47,6 +50,10 @@ FILTER_BITS = 25
 # Members compared with one copy of a leader's set.
 MEMBERS = 500
 _HASH = U64((1 << 56) - 1)
+# Parity bits of a set; members of a run that are held against each other at once; rows of a task.
+PARITY = 2048
+CHUNK = 1000
+SLOT_ROWS = 50_000
 
 
 # -- sets ----------------------------------------------------------------------------------
@@ -83,6 +90,15 @@ class _Sets:
 
     keys: list[np.ndarray]
 
+    def parity(self) -> np.ndarray:
+        """A bit for each of ``PARITY`` classes of shingles: whether the set has an odd number of
+        them. Two sets differ in at least as many shingles as bits."""
+        out = np.zeros((len(self.keys), PARITY // 8), np.uint8)
+        for k, keys in enumerate(self.keys):
+            counts = np.bincount((keys & U64(PARITY - 1)).astype(np.int64), minlength=PARITY)
+            out[k] = np.packbits((counts & 1).astype(np.uint8))
+        return out
+
     def nodes(self) -> np.ndarray:
         return np.array([words.mix(np.array([words.mix(k & _HASH).sum(dtype=U64) + U64(len(k))]))[0]
                          if len(k) else 0 for k in self.keys], U64)
@@ -104,15 +120,14 @@ def _as_long(a: np.ndarray) -> pa.Array:
 
 # -- summed or joined arrays of fixed size -------------------------------------------------
 
-def _merged(df: DataFrame, make, merge, dtype) -> np.ndarray:
-    """An array of fixed size that every task makes of its rows, merged over all tasks."""
+def _merged(df: DataFrame, make, merge, length: int, dtype) -> np.ndarray:
+    """An array of fixed size that every task makes of its rows, merged over all tasks by parts."""
     schema = "part int, bits binary"
-    parts = 64
+    step = length // 64
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         whole = make(batches)
-        step = len(whole) // parts
-        for k in range(parts):
+        for k in range(64):
             piece = whole[k * step:(k + 1) * step]
             if piece.any():
                 yield pa.RecordBatch.from_arrays(
@@ -127,16 +142,9 @@ def _merged(df: DataFrame, make, merge, dtype) -> np.ndarray:
         return pa.table({"part": group["part"].slice(0, 1),
                          "bits": pa.array([pack(total)], pa.binary())})
 
-    rows = df.mapInArrow(run, schema).groupBy("part").applyInArrow(join, schema).collect()
-    found = {r["part"]: unpack(r["bits"])[0] for r in rows}
-    return found
-
-
-def _whole(found: dict[int, np.ndarray], length: int, dtype) -> np.ndarray:
     out = np.zeros(length, dtype)
-    step = length // 64
-    for k, piece in found.items():
-        out[k * step:(k + 1) * step] = piece
+    for r in df.mapInArrow(run, schema).groupBy("part").applyInArrow(join, schema).collect():
+        out[r["part"] * step:(r["part"] + 1) * step] = unpack(r["bits"])[0]
     return out
 
 
@@ -146,13 +154,13 @@ def shingle_levels(texts: DataFrame, size: int) -> np.ndarray:
     def make(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
         cells = np.zeros(1 << SKETCH_BITS, np.int64)
         for batch in batches:
-            for _, _, data, offsets in words.sliced(batch.column(0), 4 * words.SLICE_BYTES):
+            for _, _, data, offsets in words.sliced(batch.column(0)):
                 hashes, _ = _shingles(data, offsets, size)
                 at, n = words.counted(hashes >> U64(64 - SKETCH_BITS))
                 cells[at.astype(np.int64)] += n
         return cells
 
-    cells = _whole(_merged(texts, make, np.add, np.int64), 1 << SKETCH_BITS, np.int64)
+    cells = _merged(texts, make, np.add, 1 << SKETCH_BITS, np.int64)
     usual = 4 * cells.mean() + 16
     return np.where(cells > usual, np.log2(np.maximum(cells, 1)), 0).astype(np.uint8)
 
@@ -171,12 +179,27 @@ def _filter_of(keys: DataFrame) -> np.ndarray:
             bits[_bit(batch.column(0), batch.column(1))] = True
         return np.packbits(bits)
 
-    return _whole(_merged(keys, make, np.bitwise_or, np.uint8), 1 << (FILTER_BITS - 3), np.uint8)
+    return _merged(keys, make, np.bitwise_or, 1 << (FILTER_BITS - 3), np.uint8)
 
 
 # -- prefixes and runs ---------------------------------------------------------------------
 
-RUNS = "kind int, run long, grp long, size int, weight int, leader long, doc_id long, node long"
+RUNS = ("kind int, run long, grp long, size int, cap int, weight int, doc_id long, node long, "
+        "bits binary")
+# Partner sizes are kept as sixteenths of the own size, rounded up.
+STEPS = 16
+
+
+def _prefix(n: int, percent: int) -> tuple[int, np.ndarray]:
+    """Length of the prefix, and for each place the largest partner it can lead to.
+
+    Sets of n and m shingles that are similar share a >= percent (n + m) / (100 + percent) of them,
+    hence ``SHARED`` (or all a) among the first n - a + SHARED of the one and m - a + SHARED of the
+    other. So a shingle at a place serves partners up to some m, and places beyond the prefix none
+    that is large enough."""
+    length = min(n, n - _needed(n, percent) + SHARED)
+    most = (100 + percent) * (n - 1 + SHARED - np.arange(length)) // percent - n
+    return length, np.clip(-(-STEPS * most // n), 0, 255).astype(np.uint8)
 
 
 def _turned(keys: np.ndarray) -> np.ndarray:
@@ -185,52 +208,59 @@ def _turned(keys: np.ndarray) -> np.ndarray:
 
 
 def _runs(asks: list[list[np.ndarray]], percent: int) -> pa.Table:
-    token, group, size = (np.concatenate([a[k] for a in asks]) for k in range(3))
-    order = np.lexsort((group, size, token))
-    token, group, size = token[order], group[order], size[order]
+    token, group, size, step = (np.concatenate([a[k] for a in asks]) for k in range(4))
+    order = np.lexsort((group, token))
+    token, group, size, step = token[order], group[order], size[order], step[order]
     new = np.ones(len(token), bool)
     new[1:] = (token[1:] != token[:-1]) | (group[1:] != group[:-1])
     token, group, size = token[new], group[new], size[new].astype(np.int64)
+    cap = step[new].astype(np.int64) * size // STEPS
+    for last in (False, True):
+        starts = words.distinct(token)
+        lengths = np.diff(np.append(starts, len(token)))
+        keep = np.repeat(lengths > 1, lengths)
+        if not last and len(starts):
+            # Too small a partner size for the smallest of the run, or too large for the farthest.
+            keep &= cap >= np.repeat(np.minimum.reduceat(size, starts), lengths)
+            keep &= size <= np.repeat(np.maximum.reduceat(cap, starts), lengths)
+        token, group, size, cap = token[keep], group[keep], size[keep], cap[keep]
     starts = words.distinct(token)
     lengths = np.diff(np.append(starts, len(token)))
-    several = lengths > 1
-    keep = np.repeat(several, lengths)
-    group, size, lengths = group[keep], size[keep], lengths[several]
-    if not len(lengths):
-        return _run_table(np.empty(0, U64), group, size, np.empty(0, np.int64), np.empty(0, U64))
-    starts = np.concatenate(([0], np.cumsum(lengths)[:-1]))
-    name = words.mix(np.add.reduceat(words.mix(group), starts) + lengths.astype(U64))
+    if not len(starts):
+        return _run_table(np.empty(0, U64), group, size, cap, np.empty(0, np.int64))
+    member = words.mix(group ^ words.mix(cap.astype(U64)))
+    name = words.mix(np.add.reduceat(member, starts) + lengths.astype(U64))
     order = np.argsort(name, kind="stable")
     first = words.distinct(name[order])
     weight = np.diff(np.append(first, len(order)))
     chosen = order[first]
-    take = np.repeat(starts[chosen], lengths[chosen]) + (
-        np.arange(lengths[chosen].sum()) - np.repeat(
-            np.cumsum(lengths[chosen]) - lengths[chosen], lengths[chosen]))
-    leader = np.repeat(starts[chosen], lengths[chosen])
-    near = 100 * size[leader] >= percent * size[take]
-    return _run_table(np.repeat(name[chosen], lengths[chosen]), group[take], size[take],
-                      np.repeat(weight, lengths[chosen]),
-                      np.where(near, group[leader], group[take]))
+    lengths = lengths[chosen]
+    take = np.repeat(starts[chosen] - (np.cumsum(lengths) - lengths), lengths) + np.arange(
+        lengths.sum())
+    return _run_table(np.repeat(name[chosen], lengths), group[take], size[take], cap[take],
+                      np.repeat(weight, lengths))
 
 
-def _run_table(run, group, size, weight, leader) -> pa.Table:
+def _run_table(run, group, size, cap, weight) -> pa.Table:
     n = len(run)
     none = pa.nulls(n, pa.int64())
     return pa.table({"kind": pa.array(np.ones(n, np.int32)), "run": _as_long(run),
                      "grp": _as_long(group), "size": pa.array(size.astype(np.int32)),
-                     "weight": pa.array(weight.astype(np.int32)), "leader": _as_long(leader),
-                     "doc_id": none, "node": none})
+                     "cap": pa.array(cap.astype(np.int32)),
+                     "weight": pa.array(weight.astype(np.int32)), "doc_id": none, "node": none,
+                     "bits": pa.nulls(n, pa.binary())})
 
 
 def _doc_table(asks: list[list[np.ndarray]]) -> pa.Table:
-    doc, known, node, group, size = (np.concatenate([a[k] for a in asks]) for k in range(5))
+    doc, known, node, group, size, bits = (np.concatenate([a[k] for a in asks]) for k in range(6))
     n = len(doc)
+    bits = bits.reshape(n, PARITY // 8)
     none = pa.nulls(n, pa.int64())
     return pa.table({"kind": pa.array(np.zeros(n, np.int32)), "run": none, "grp": _as_long(group),
-                     "size": pa.array(size.astype(np.int32)), "weight": pa.nulls(n, pa.int32()),
-                     "leader": none, "doc_id": pa.array(doc, mask=known == 0),
-                     "node": _as_long(node)})
+                     "size": pa.array(size.astype(np.int32)), "cap": pa.nulls(n, pa.int32()),
+                     "weight": pa.nulls(n, pa.int32()), "doc_id": pa.array(doc, mask=known == 0),
+                     "node": _as_long(node),
+                     "bits": pa.array([b.tobytes() for b in bits], pa.binary())})
 
 
 def _indexed(texts: DataFrame, levels, n_buckets: int, size: int, percent: int) -> DataFrame:
@@ -243,7 +273,7 @@ def _indexed(texts: DataFrame, levels, n_buckets: int, size: int, percent: int)
             known = np.asarray(ids.is_valid())
             ids = ids.fill_null(0).to_numpy(zero_copy_only=False)
             rows: list[tuple[np.ndarray, ...]] = []
-            prefixes: dict[int, tuple[np.ndarray, int]] = {}
+            prefixes: dict[int, tuple[np.ndarray, int, np.ndarray]] = {}
             for i, j, data, offsets in words.sliced(batch.column(0)):
                 sets = _sets(data, offsets, order, size)
                 nodes = sets.nodes()
@@ -251,26 +281,28 @@ def _indexed(texts: DataFrame, levels, n_buckets: int, size: int, percent: int)
                 for k, keys in enumerate(sets.keys):
                     n = len(keys)
                     if n:
-                        least = _needed(n, percent)
-                        prefix = keys[:n - least + min(SHARED, least)]
+                        length, steps = _prefix(n, percent)
+                        prefix = keys[:length]
                         name = words.mix(np.array(
                             [words.mix(prefix).sum(dtype=U64) + U64(n)], U64))[0]
                         groups[k], sizes[k] = name, n
-                        prefixes[int(name)] = (prefix, n)
-                rows.append((ids[i:j], known[i:j].astype(np.uint8), nodes, groups, sizes))
+                        prefixes[int(name)] = (prefix, n, steps)
+                rows.append((ids[i:j], known[i:j].astype(np.uint8), nodes, groups, sizes,
+                             sets.parity().ravel()))
             if rows:
                 number += 1
                 yield _ask(-1 - (number + int(rows[0][2][0])) % n_buckets,
-                           pack(*[np.concatenate([r[k] for r in rows]) for k in range(5)]))
+                           pack(*[np.concatenate([r[k] for r in rows]) for k in range(6)]))
             if prefixes:
-                lengths = [len(p) for p, _ in prefixes.values()]
-                token = _turned(np.concatenate([p for p, _ in prefixes.values()]))
+                prefix, count, steps = zip(*prefixes.values(), strict=True)
+                lengths = [len(p) for p in prefix]
+                token, steps = _turned(np.concatenate(prefix)), np.concatenate(steps)
                 group = np.repeat(np.array(list(prefixes), U64), lengths)
-                count = np.repeat(np.array([n for _, n in prefixes.values()], np.uint32), lengths)
+                count = np.repeat(np.array(count, np.uint32), lengths)
                 at = np.argsort(token)
-                token, group, count = token[at], group[at], count[at]
-                for bucket, part in bucket_slices(token, n_buckets):
-                    yield _ask(bucket, pack(token[part], group[part], count[part]))
+                for bucket, part in bucket_slices(token[at], n_buckets):
+                    some = at[part]
+                    yield _ask(bucket, pack(token[some], group[some], count[some], steps[some]))
 
     def gather(group: pa.Table) -> pa.Table:
         asks = [unpack(v.as_buffer()) for v in group["payload"]]
@@ -354,6 +386,103 @@ def _verified(texts: DataFrame, nodes: DataFrame, pairs: DataFrame, levels, size
 
 # -- the join ------------------------------------------------------------------------------
 
+def _leads(x: str, y: str) -> Column:
+    """Whether the shingles of a run lead these two groups to each other."""
+    return (F.col(f"{x}.size") <= F.col(f"{y}.cap")) & (F.col(f"{y}.size") <= F.col(f"{x}.cap"))
+
+
+def _enough(percent: int) -> Column:
+    """Whether a pair shares as much of its prefixes (weight) as its larger size asks for."""
+    return F.col("weight") >= F.least(F.lit(SHARED), F.ceil(F.col("size") * percent / 100))
+
+
+def _leaders(runs: DataFrame, percent: int) -> DataFrame:
+    """(grp, leader): of the leaders of a group's runs, the one it shares most with. A run's leader
+    is the member that shares most with all others of all runs."""
+    lengths = runs.groupBy("run").agg(F.count("*").alias("length"))
+    wide = runs.join(stored(lengths, "run-lengths"), "run").groupBy("grp").agg(
+        F.sum(F.col("weight") * (F.col("length") - 1)).alias("shared"))
+    ranked = stored(runs.join(stored(wide, "shared"), "grp"), "ranked-runs")
+    leaders = ranked.groupBy("run").agg(F.max(F.struct("shared", "grp", "size", "cap")).alias("y"))
+    met = ranked.alias("x").join(stored(leaders.select("run", "y.*"), "leaders").alias("y"), "run")
+    return met.filter((F.col("x.grp") != F.col("y.grp")) & _leads("x", "y")).groupBy(
+        F.col("x.grp").alias("grp"), F.col("y.grp").alias("leader")).agg(
+        F.sum("x.weight").alias("weight"), F.max(F.greatest("x.size", "y.size")).alias("size")
+    ).filter(_enough(percent)).groupBy("grp").agg(
+        F.max(F.struct("weight", "leader"))["leader"].alias("leader"))
+
+
+def _open(runs: DataFrame, nodes: DataFrame, labels: DataFrame) -> DataFrame:
+    """Runs whose members lie in several components, and groups of several members, by member."""
+    members = nodes.join(labels, "node", "left").select(
+        "node", "grp", "size", F.coalesce("label", "node").alias("label"))
+    together = runs.select("run", "grp", "cap", "weight").join(members, "grp").unionByName(
+        members.select(F.col("grp").alias("run"), "grp", F.col("size").alias("cap"),
+                       F.lit(SHARED).alias("weight"), "node", "size", "label"))
+    mixed = together.groupBy("run").agg(
+        F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("length")
+    ).filter("low <> high").select(
+        "run", F.ceil(F.col("length") / CHUNK).cast("int").alias("parts"))
+    return stored(together.join(stored(mixed, "mixed-runs"), "run").select(
+        "run", "parts", "weight", "node", "size", "cap", "label"), "open-runs")
+
+
+def _met(open_runs: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
+    """(a, b, weight, size) of members of different components that a run leads to one another and
+    whose parity bits allow it. Chunks of a run meet each other, so none is large."""
+    part = F.pmod(F.xxhash64("node"), "parts").cast("int")
+    columns = ["run", "weight", "node", "size", "cap", "label", "bits", "part"]
+    rows = open_runs.join(bits, "node").withColumn("part", part).select(
+        *columns, F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"))
+    slots = max(1, -(-open_runs.count() // SLOT_ROWS))
+    i, j = F.least("part", "other"), F.greatest("part", "other")
+    rows = rows.select(*columns, i.alias("i"), j.alias("j"),
+                       F.pmod(F.xxhash64("run", i, j), F.lit(slots)).alias("slot"))
+
+    def meet(group: pa.Table) -> pa.Table:
+        run, weight, node, size, cap, label, part, i, j = (
+            group[c].to_numpy() for c in ("run", "weight", "node", "size", "cap", "label", "part",
+                                          "i", "j"))
+        data, _ = words.texts(group["bits"])
+        parity = np.ascontiguousarray(data).view(U64).reshape(len(run), PARITY // 64)
+        order = np.lexsort((j, i, run))
+        new = np.ones(len(order), bool)
+        new[1:] = np.any([c[order][1:] != c[order][:-1] for c in (run, i, j)], axis=0)
+        starts = np.append(np.flatnonzero(new), len(order)).tolist()
+        out: list[tuple] = []
+        for a, b in zip(starts[:-1], starts[1:], strict=True):
+            some = order[a:b]
+            own = i[some[0]] == j[some[0]]
+            one = some if own else some[part[some] == i[some[0]]]
+            for x in one.tolist():
+                # Within a chunk a pair is met from its larger label only.
+                two = some if own else some[part[some] != part[x]]
+                y = two[label[two] < label[x] if own else label[two] != label[x]]
+                y = y[(size[y] <= cap[x]) & (size[x] <= cap[y])]
+                if not len(y):
+                    continue
+                apart = np.bitwise_count(parity[y] ^ parity[x]).sum(axis=1).astype(np.int64)
+                both = (size[y] + size[x]).astype(np.int64)
+                y = y[(100 + percent) * apart <= (100 - percent) * both]
+                if len(y):
+                    down = label[y] < label[x]
+                    out.append((np.where(down, node[x], node[y]), np.where(down, node[y], node[x]),
+                                weight[y], np.maximum(size[y], size[x])))
+        high, low, shared, most = (
+            np.concatenate([np.empty(0, np.int64), *[o[k] for o in out]]) for k in range(4))
+        # A pair meets in many runs; a slot tells of it once.
+        order = np.lexsort((low, high))
+        high, low, shared, most = (c[order] for c in (high, low, shared, most))
+        starts = words.distinct(words.mix(high.view(U64) ^ words.mix(low.view(U64))))
+        if len(starts):
+            shared = np.add.reduceat(shared, starts)
+        return pa.table({"a": pa.array(high[starts]), "b": pa.array(low[starts]),
+                         "weight": pa.array(shared.astype(np.int32)),
+                         "size": pa.array(most[starts].astype(np.int32))})
+
+    return rows.groupBy("slot").applyInArrow(meet, "a long, b long, weight int, size int")
+
+
 def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = WORDS,
                     percent: int = PERCENT) -> DataFrame:
     """One row for each row of ``df``: doc_id, n_shingles, component_id (the smallest doc_id
@@ -366,17 +495,14 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", s
     index = stored(_indexed(texts, levels, buckets_for(texts), size, percent), "runs")
     docs, runs = index.filter("kind = 0"), index.filter("kind = 1")
     nodes = stored(docs.filter("size > 0").groupBy("node").agg(
-        F.min("doc_id").alias("doc"), F.first("grp").alias("grp"), F.first("size").alias("size")),
-        "nodes")
-    enough = F.least(F.lit(SHARED), F.ceil(F.col("size") * percent / 100))
+        F.min("doc_id").alias("doc"), F.first("grp").alias("grp"), F.first("size").alias("size"),
+        F.first("bits").alias("bits")), "nodes")
+    docs = docs.select("doc_id", "size", "node")
 
     # Star round: a member of a group meets the group's first member, and that the first member of
-    # the group it shares most with.
+    # the leading group.
     firsts = nodes.groupBy("grp").agg(F.min("node").alias("first"))
-    best = runs.filter("leader <> grp").groupBy("grp", "leader").agg(
-        F.sum("weight").alias("weight"), F.max("size").alias("size")).filter(
-        F.col("weight") >= enough).groupBy("grp").agg(
-        F.max(F.struct("weight", "leader"))["leader"].alias("leader"))
+    best = _leaders(runs, percent)
     named = firsts.select(F.col("grp").alias("leader"), F.col("first").alias("b"))
     star = firsts.join(best, "grp").join(named, "leader").select(F.col("first").alias("a"), "b")
     inner = nodes.join(firsts, "grp").filter(F.col("node") != F.col("first")).select(
@@ -384,24 +510,10 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", s
     links = _verified(texts, nodes, star.unionByName(inner), levels, size, percent)
     labels = stored(components(links), "labels")
 
-    # Rest round: only runs whose members lie in several components, and groups of several members.
-    members = nodes.join(labels, "node", "left").select(
-        "node", "grp", "size", F.coalesce("label", "node").alias("label"))
-    together = runs.select("run", "grp", "weight").join(members, "grp").unionByName(
-        members.select(F.col("grp").alias("run"), "grp", F.lit(1 << 20).alias("weight"), "node",
-                       "size", "label"))
-    mixed = together.groupBy("run").agg(F.min("label").alias("low"), F.max("label").alias("high")
-                                        ).filter("low <> high").select("run")
-    open_runs = stored(together.join(mixed, "run"), "open-runs")
-    left = open_runs.select("run", "weight", F.col("node").alias("b"), F.col("size").alias("size_b"),
-                            F.col("label").alias("label_b"))
-    right = open_runs.select("run", F.col("node").alias("a"), F.col("size").alias("size_a"),
-                             F.col("label").alias("label_a"))
-    near = (100 * F.least("size_a", "size_b") >= percent * F.greatest("size_a", "size_b"))
-    rest = left.join(right, "run").filter((F.col("label_a") > F.col("label_b")) & near).groupBy(
-        "a", "b").agg(F.sum("weight").alias("weight"),
-                      F.max(F.greatest("size_a", "size_b")).alias("size")).filter(
-        F.col("weight") >= enough)
+    # Rest round.
+    rest = _met(_open(runs, nodes, labels), nodes.select("node", "bits"), percent).groupBy(
+        "a", "b").agg(F.sum("weight").alias("weight"), F.max("size").alias("size")).filter(
+        _enough(percent))
     more = _verified(texts, nodes, rest, levels, size, percent)
     if more.limit(1).count():
         links = links.unionByName(more)
