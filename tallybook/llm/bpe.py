@@ -29,7 +29,7 @@ from tallybook.llm.frames import appended, once
 
 # Pre-tokens that each of the two generations of an encoder's memory may hold, and the length
 # (characters) up to which a pre-token is remembered.
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 REMEMBERED_CHARS = 48
 _MASK = (1 << 64) - 1
 
@@ -204,7 +204,7 @@ def encode(df: DataFrame, vocabulary: Vocabulary, text: str = "text",
                 pa.array([len(p) // 4 for p in packed], pa.int64())]
 
     return appended(df, [T.StructField(output, T.BinaryType()), T.StructField(count, T.LongType())],
-                    compute)
+                    compute, name)
 
 
 def decode(df: DataFrame, vocabulary: Vocabulary, ids: str = "token_ids",

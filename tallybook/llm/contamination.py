@@ -115,7 +115,7 @@ def _scan(df: DataFrame, items: list[tuple[str | None, str]], text: str, size: i
 
     return appended(df, [T.StructField("n_words", T.LongType()), T.StructField("word_spans", SPANS),
                          T.StructField("items", T.ArrayType(T.StringType())),
-                         T.StructField("char_spans", SPANS)], compute)
+                         T.StructField("char_spans", SPANS)], compute, name)
 
 
 def scan(df: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id",

@@ -9,6 +9,8 @@ one entry per key and block, and neither a hot key nor the corpus ever meets in
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import os
 import uuid
 from collections.abc import Callable, Iterable, Iterator
@@ -33,6 +35,26 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def trim() -> None:
+    """Give freed memory back to the system: a worker process that waits for its next task should
+    not hold what the last one needed."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def trimmed(run: Callable, name: str | None = None) -> Callable:
+    """A function over batches that trims at its end, and at its beginning lets go of what other
+    operators have kept by ``once`` in this process; ``name`` is its own."""
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for other in [k for k in _KEPT if k != name]:
+            del _KEPT[other]
+        yield from run(batches)
+        trim()
+
+    return wrapped
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write a table to the shared folder and read it back: cuts the lineage, outlives executors."""
     spark = df.sparkSession
@@ -68,8 +90,10 @@ def without(df: DataFrame, names: Iterable[str]) -> DataFrame:
 
 
 def appended(df: DataFrame, fields: list[T.StructField],
-             compute: Callable[[pa.RecordBatch], list[pa.Array]]) -> DataFrame:
-    """Add columns computed per Arrow batch; input columns of the same names are replaced."""
+             compute: Callable[[pa.RecordBatch], list[pa.Array]],
+             name: str | None = None) -> DataFrame:
+    """Add columns computed per Arrow batch; input columns of the same names are replaced. ``name``
+    is that of what ``compute`` keeps by ``once``."""
     prepare(df.sparkSession)
     df = without(df, [f.name for f in fields])
     schema = T.StructType([*df.schema.fields, *fields])
@@ -79,17 +103,16 @@ def appended(df: DataFrame, fields: list[T.StructField],
         for batch in batches:
             yield pa.RecordBatch.from_arrays([*batch.columns, *compute(batch)], names=names)
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(trimmed(run, name), schema)
 
 
 _KEPT: dict[str, object] = {}
 
 
 def once(name: str, make: Callable[[], object]) -> object:
-    """What ``make`` gives, made once a worker process and name; the last two are kept."""
+    """What ``make`` gives, made once a worker process and name; only the last is kept."""
     if name not in _KEPT:
-        while len(_KEPT) > 1:
-            del _KEPT[next(iter(_KEPT))]
+        _KEPT.clear()
         _KEPT[name] = make()
     return _KEPT[name]
 
@@ -194,7 +217,7 @@ def to_blocks(df: DataFrame, ask: Ask, name: str, block_bytes: int = BLOCK_BYTES
             if asked:
                 yield rows(asked)
 
-    return stored(df.mapInArrow(run, BLOCKS), name)
+    return stored(df.mapInArrow(trimmed(run), BLOCKS), name)
 
 
 def rows(values: list[tuple[str, str, int | None, bytes]]) -> pa.RecordBatch:

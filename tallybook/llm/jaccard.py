@@ -37,7 +37,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallybook.llm import words
-from tallybook.llm.frames import buckets_for, bucket_slices, pack, prepare, stored, unpack
+from tallybook.llm.frames import (bucket_slices, buckets_for, pack, prepare, stored, trim, trimmed,
+                                  unpack)
 from tallybook.llm.graph import components
 
 U64 = np.uint64
@@ -143,7 +144,7 @@ def _merged(df: DataFrame, make, merge, length: int, dtype) -> np.ndarray:
                          "bits": pa.array([pack(total)], pa.binary())})
 
     out = np.zeros(length, dtype)
-    for r in df.mapInArrow(run, schema).groupBy("part").applyInArrow(join, schema).collect():
+    for r in df.mapInArrow(trimmed(run), schema).groupBy("part").applyInArrow(join, schema).collect():
         out[r["part"] * step:(r["part"] + 1) * step] = unpack(r["bits"])[0]
     return out
 
@@ -306,9 +307,12 @@ def _indexed(texts: DataFrame, levels, n_buckets: int, size: int, percent: int)
 
     def gather(group: pa.Table) -> pa.Table:
         asks = [unpack(v.as_buffer()) for v in group["payload"]]
-        return _doc_table(asks) if group["bucket"][0].as_py() < 0 else _runs(asks, percent)
+        found = _doc_table(asks) if group["bucket"][0].as_py() < 0 else _runs(asks, percent)
+        del asks
+        trim()
+        return found
 
-    asked = texts.mapInArrow(run, "bucket long, payload binary")
+    asked = texts.mapInArrow(trimmed(run), "bucket long, payload binary")
     return asked.groupBy("bucket").applyInArrow(gather, RUNS)
 
 
@@ -359,7 +363,7 @@ def _verified(texts: DataFrame, nodes: DataFrame, pairs: DataFrame, levels, size
                          pa.array([_six(sets.keys[k]) for k in some], pa.binary())],
                         names=["node", "doc", "shingles"])
 
-    found = texts.mapInArrow(run, "node long, doc long, shingles binary")
+    found = texts.mapInArrow(trimmed(run), "node long, doc long, shingles binary")
     there = found.join(routes.hint("shuffle_hash"),
                        (found["node"] == routes["node"]) & found["doc"].eqNullSafe(routes["doc"]))
     there = there.select(routes["node"], "b", "salt", "leads", "shingles")

@@ -28,12 +28,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallybook.llm import words
-from tallybook.llm.frames import appended, prepare
+from tallybook.llm.frames import appended, prepare, trimmed
 
 UNKNOWN = "und"
 HASH_BITS = 13
 SIZES = (1, 2, 3)
 SLICE_BYTES = 1 << 18
+# Texts whose n-gram counts are held at once, however short they are.
+SLICE_ROWS = 64
 # Margins are mean log ratios per n-gram; this many n-grams' worth is the most a text counts for.
 EVIDENCE = 40.0
 AMBIGUOUS_BELOW = 0.6
@@ -70,7 +72,8 @@ def _features(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 def _slices(batch: pa.RecordBatch, text: str):
-    return words.sliced(batch.column(batch.schema.get_field_index(text)), SLICE_BYTES)
+    return words.sliced(batch.column(batch.schema.get_field_index(text)), SLICE_BYTES,
+                        SLICE_ROWS)
 
 
 @dataclass(frozen=True)
@@ -124,7 +127,7 @@ def fit(df: DataFrame, text: str = "text", lang: str = "lang") -> Model:
                     [pa.array([name] * int(some.sum()), pa.string()), pa.array(at[some]),
                      pa.array(counts[some])], names=["lang", "feature", "n"])
 
-    totals = (labelled.mapInArrow(count, "lang string, feature int, n double")
+    totals = (labelled.mapInArrow(trimmed(count), "lang string, feature int, n double")
               .groupBy("lang", "feature").agg(F.sum("n").alias("n"))
               .groupBy("lang").agg(F.collect_list(F.struct("feature", "n")).alias("counts")))
     found = sorted(totals.collect(), key=lambda r: r["lang"])

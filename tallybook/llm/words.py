@@ -16,7 +16,7 @@ import pyarrow as pa
 U64 = np.uint64
 # Texts are taken in slices of about this many bytes (one text at least), which bounds the
 # memory of all temporary arrays.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 
 _STEP = U64(0x9E3779B97F4A7C15)
 _BASE_BYTES = U64(0x2545F4914F6CDD1D)
@@ -101,21 +101,22 @@ def texts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0]:offsets[-1]], offsets.astype(np.int64) - int(offsets[0])
 
 
-def slices(offsets: np.ndarray, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
-    """Row ranges of about ``limit`` bytes each, one row at least."""
+def slices(offsets: np.ndarray, limit: int = SLICE_BYTES, most: int = 1 << 30
+           ) -> Iterator[tuple[int, int]]:
+    """Row ranges of about ``limit`` bytes each and ``most`` rows at most, one row at least."""
     row, rows = 0, len(offsets) - 1
     while row < rows:
         stop = int(np.searchsorted(offsets, offsets[row] + limit, "right")) - 1
-        stop = min(max(stop, row + 1), rows)
+        stop = min(max(stop, row + 1), row + most, rows)
         yield row, stop
         row = stop
 
 
-def sliced(column: pa.Array, limit: int = SLICE_BYTES
+def sliced(column: pa.Array, limit: int = SLICE_BYTES, most: int = 1 << 30
            ) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, end row, bytes, offsets) of each slice of a column."""
     data, offsets = texts(column)
-    for i, j in slices(offsets, limit):
+    for i, j in slices(offsets, limit, most):
         yield i, j, data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i]
 
 
