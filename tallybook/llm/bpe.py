@@ -29,7 +29,7 @@ from tallybook.llm.frames import appended, once
 
 # Pre-tokens that each of the two generations of an encoder's memory may hold, and the length
 # (characters) up to which a pre-token is remembered.
-REMEMBERED = 200_000
+REMEMBERED = 300_000
 REMEMBERED_CHARS = 48
 _MASK = (1 << 64) - 1
 
