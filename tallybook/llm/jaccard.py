@@ -14,8 +14,10 @@ meet by shingle, as packed arrays, and the sets behind them are compared only at
    shares most with; verified links give components;
 4. rest round: members of different components that share enough in their runs are compared pair by
    pair, unless the parity bits of their sets already differ in more places than similar sets can.
-   What is already connected needs no further link, so a large group of near copies costs one
-   comparison each, and still no link between components is lost.
+   What is already connected needs no further link to make the components, and still no link
+   between components is lost;
+5. all links being within components by now, each component's sets are compared with one another,
+   chunk by chunk and each pair once, and every set's links are counted.
 
 Comparisons bring a leader's set and a bounded number of members together; sets travel only for
 texts that have a candidate (a filter of fixed size tells most others apart, an exact join the
@@ -55,6 +57,12 @@ _HASH = U64((1 << 56) - 1)
 PARITY = 2048
 CHUNK = 1000
 SLOT_ROWS = 50_000
+# Counting links: shingles of a task; columns of a matrix; pairs listed at once; how much dearer a
+# listed pair is than a cell of the product.
+SLOT_SHINGLES = 1 << 20
+COLUMNS = 2048
+LISTED = 1 << 21
+SPARSE = 32
 
 
 # -- sets ----------------------------------------------------------------------------------
@@ -336,17 +344,8 @@ def _of_six(raw: memoryview | bytes) -> np.ndarray:
     return out.view(U64).ravel()
 
 
-def _verified(texts: DataFrame, nodes: DataFrame, pairs: DataFrame, levels, size: int,
-              percent: int) -> DataFrame:
-    """Those of the pairs (a, b) of nodes whose sets are similar enough, written."""
-    pairs = stored(pairs.select("a", "b"), "pairs")
-    hubs = pairs.groupBy("b").agg(F.ceil(F.count("*") / MEMBERS).alias("copies"))
-    salted = pairs.join(stored(hubs, "hubs"), "b").select(
-        "a", "b", F.pmod(F.xxhash64("a"), "copies").cast("int").alias("salt"))
-    routes = salted.select(F.col("a").alias("node"), "b", "salt", F.lit(False).alias("leads"))
-    routes = routes.unionByName(salted.select(
-        F.col("b").alias("node"), "b", "salt", F.lit(True).alias("leads")).distinct())
-    routes = stored(routes.join(nodes.select("node", "doc"), "node"), "routes")
+def _carried(texts: DataFrame, routes: DataFrame, levels, size: int) -> DataFrame:
+    """Rows (node, doc, ...) with the node's set, as the text of that document gives it."""
     shared = texts.sparkSession.sparkContext.broadcast(_filter_of(routes.select("node", "doc")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -366,7 +365,21 @@ def _verified(texts: DataFrame, nodes: DataFrame, pairs: DataFrame, levels, size
     found = texts.mapInArrow(trimmed(run), "node long, doc long, shingles binary")
     there = found.join(routes.hint("shuffle_hash"),
                        (found["node"] == routes["node"]) & found["doc"].eqNullSafe(routes["doc"]))
-    there = there.select(routes["node"], "b", "salt", "leads", "shingles")
+    return there.select(*[routes[c] for c in routes.columns if c != "doc"], "shingles")
+
+
+def _verified(texts: DataFrame, nodes: DataFrame, pairs: DataFrame, levels, size: int,
+              percent: int) -> DataFrame:
+    """Those of the pairs (a, b) of nodes whose sets are similar enough, written."""
+    pairs = stored(pairs.select("a", "b"), "pairs")
+    hubs = pairs.groupBy("b").agg(F.ceil(F.count("*") / MEMBERS).alias("copies"))
+    salted = pairs.join(stored(hubs, "hubs"), "b").select(
+        "a", "b", F.pmod(F.xxhash64("a"), "copies").cast("int").alias("salt"))
+    routes = salted.select(F.col("a").alias("node"), "b", "salt", F.lit(False).alias("leads"))
+    routes = routes.unionByName(salted.select(
+        F.col("b").alias("node"), "b", "salt", F.lit(True).alias("leads")).distinct())
+    there = _carried(texts, stored(routes.join(nodes.select("node", "doc"), "node"), "routes"),
+                     levels, size)
 
     def compare(group: pa.Table) -> pa.Table:
         leads = group["leads"].to_pylist()
@@ -388,6 +401,111 @@ def _verified(texts: DataFrame, nodes: DataFrame, pairs: DataFrame, levels, size
     return stored(there.groupBy("b", "salt").applyInArrow(compare, "a long, b long"), "links")
 
 
+# -- links ---------------------------------------------------------------------------------
+
+def _common(one: list[np.ndarray], two: list[np.ndarray]) -> np.ndarray:
+    """How many shingles each set of ``one`` shares with each of ``two``. Shingles that many of them
+    have are counted by a product of 0/1 matrices, the others by listing who shares them."""
+    na, nb = len(one), len(two)
+    (ka, oa), (kb, ob) = ((np.concatenate(x), np.repeat(np.arange(len(x)), [len(k) for k in x]))
+                          for x in (one, two))
+    both = np.intersect1d(ka, kb)
+    pa_, pb = words.lookup(both, ka), words.lookup(both, kb)
+    (pa_, oa), (pb, ob) = ((p[p >= 0], o[p >= 0]) for p, o in ((pa_, oa), (pb, ob)))
+    ha, hb = np.bincount(pa_, minlength=len(both)), np.bincount(pb, minlength=len(both))
+    out = np.zeros((na, nb))
+    many = ha * hb * SPARSE > na * nb
+    column = np.cumsum(many) - 1
+    da, db = many[pa_], many[pb]
+    ca, cb, ra, rb = column[pa_[da]], column[pb[db]], oa[da], ob[db]
+    for first in range(0, int(many.sum()), COLUMNS):
+        left, right = np.zeros((na, COLUMNS), np.float32), np.zeros((nb, COLUMNS), np.float32)
+        for full, c, r in ((left, ca, ra), (right, cb, rb)):
+            some = (c >= first) & (c < first + COLUMNS)
+            full[r[some], c[some] - first] = 1
+        out += left @ right.T
+    pa_, oa, pb, ob = pa_[~da], oa[~da], pb[~db], ob[~db]
+    ob = ob[np.argsort(pb, kind="stable")]
+    begins = np.cumsum(np.where(many, 0, hb)) - np.where(many, 0, hb)
+    sizes = hb[pa_]
+    ends = np.cumsum(sizes)
+    a = 0
+    while a < len(pa_):
+        b = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + LISTED, "right")))
+        n = sizes[a:b]
+        partner = ob[np.repeat(begins[pa_[a:b]] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))]
+        out += np.bincount(np.repeat(oa[a:b], n) * nb + partner, minlength=na * nb).reshape(na, nb)
+        a = b
+    return out
+
+
+def _alike(one: list[np.ndarray], two: list[np.ndarray], percent: int) -> np.ndarray:
+    """Whether each set of ``one`` is similar enough to each of ``two``."""
+    common = _common(one, two)
+    total = np.add.outer([float(len(k)) for k in one], [float(len(k)) for k in two])
+    return 100 * common >= percent * (total - common)
+
+
+def _linked(texts: DataFrame, nodes: DataFrame, labels: DataFrame, levels, size: int, percent: int
+            ) -> DataFrame:
+    """(node, linked): rows of other sets that the node's set is similar enough to.
+
+    All links are within components, so each component's sets are compared with one another, each
+    pair once: chunk by chunk, a task taking chunk pairs of about ``SLOT_SHINGLES``. What
+    leaves a task is a count for each set, however many links there are."""
+    members = stored(nodes.select("node", "doc", "size", "copies").join(labels, "node"), "members")
+    whole = stored(members.groupBy("label").agg(
+        F.count("*").alias("n"), F.sum("copies").alias("total"), F.sum("size").alias("shingles")
+    ).withColumn("parts", F.ceil(F.greatest(
+        F.col("n") / CHUNK, F.col("shingles") / SLOT_SHINGLES)).cast("int")), "wholes")
+    # The link of a component of two is what made it.
+    two = members.join(whole.filter("n = 2").select("label", "total"), "label").select(
+        "node", (F.col("total") - F.col("copies")).alias("linked"))
+    more = whole.filter("n > 2")
+    slots = more.agg(F.sum(F.col("shingles") * F.col("parts"))).first()[0] or 0
+    part, other = F.col("part"), F.col("other")
+    i, j = F.least(part, other), F.greatest(part, other)
+    routes = members.join(more.select("label", "parts"), "label").withColumn(
+        "part", F.pmod(F.xxhash64("node"), "parts").cast("int")).withColumn(
+        "other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(
+        "node", "doc", "copies", "label", "part", i.alias("i"), j.alias("j"),
+        F.pmod(F.xxhash64("label", i, j), F.lit(-(-slots // SLOT_SHINGLES) or 1)).alias("slot"))
+    there = _carried(texts, stored(routes, "link-routes"), levels, size)
+
+    def count(group: pa.Table) -> pa.Table:
+        node, copies, label, part, i, j = (
+            group[c].to_numpy() for c in ("node", "copies", "label", "part", "i", "j"))
+        raw = group["shingles"]
+        order = np.lexsort((node, part, j, i, label))
+        # A document that occurs several times brings its set each time.
+        same = np.zeros(len(order), bool)
+        same[1:] = np.all([c[order][1:] == c[order][:-1] for c in (node, part, j, i, label)], axis=0)
+        order = order[~same]
+        new = np.ones(len(order), bool)
+        new[1:] = np.any([c[order][1:] != c[order][:-1] for c in (label, i, j)], axis=0)
+        starts = np.append(np.flatnonzero(new), len(order)).tolist()
+        out: list[tuple[np.ndarray, np.ndarray]] = []
+        for a, b in zip(starts[:-1], starts[1:], strict=True):
+            some = order[a:b]
+            sets = [_of_six(raw[int(k)].as_buffer()) for k in some]
+            own = i[some[0]] == j[some[0]]
+            cut = len(some) if own else int((part[some] == i[some[0]]).sum())
+            if own:
+                alike = _alike(sets, sets, percent)
+                np.fill_diagonal(alike, False)
+                out.append((node[some], alike @ copies[some]))
+            elif 0 < cut < len(some):
+                alike = _alike(sets[:cut], sets[cut:], percent)
+                out.append((node[some[:cut]], alike @ copies[some[cut:]]))
+                out.append((node[some[cut:]], copies[some[:cut]] @ alike))
+        nodes_, linked = (np.concatenate([np.empty(0, np.int64), *[o[k] for o in out]])
+                          for k in (0, 1))
+        return pa.table({"node": pa.array(nodes_), "linked": pa.array(linked)})
+
+    return there.groupBy("slot").applyInArrow(count, "node long, linked long").unionByName(
+        two).groupBy("node").agg(F.sum("linked").alias("linked"))
+
+
 # -- the join ------------------------------------------------------------------------------
 
 def _leads(x: str, y: str) -> Column:
@@ -490,8 +608,8 @@ def _met(open_runs: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
 def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = WORDS,
                     percent: int = PERCENT) -> DataFrame:
     """One row for each row of ``df``: doc_id, n_shingles, component_id (the smallest doc_id
-    reachable by links, the row's own included) and n_verified (links of the row's set that were
-    verified to make the components; links that can't change a component aren't looked for)."""
+    reachable by links, the row's own included) and n_verified (its links: all other rows whose
+    sets were found equal or similar enough)."""
     spark = prepare(df.sparkSession)
     texts = df.select(F.col(text).cast("string").alias("text"),
                       F.col(doc_id).cast("long").alias("doc_id"))
@@ -500,7 +618,7 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", s
     docs, runs = index.filter("kind = 0"), index.filter("kind = 1")
     nodes = stored(docs.filter("size > 0").groupBy("node").agg(
         F.min("doc_id").alias("doc"), F.first("grp").alias("grp"), F.first("size").alias("size"),
-        F.first("bits").alias("bits")), "nodes")
+        F.first("bits").alias("bits"), F.count("*").alias("copies")), "nodes")
     docs = docs.select("doc_id", "size", "node")
 
     # Star round: a member of a group meets the group's first member, and that the first member of
@@ -525,10 +643,10 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", s
 
     ids = nodes.join(labels, "node").groupBy("label").agg(F.min("doc").alias("least"))
     known = nodes.join(labels, "node", "left").join(ids, "label", "left").select(
-        "node", F.coalesce("least", "doc").alias("component_id"))
-    ends = links.select(F.col("a").alias("node")).unionByName(links.select(
-        F.col("b").alias("node"))).groupBy("node").agg(F.count("*").alias("n_verified"))
-    known = stored(known.join(ends, "node", "left"), "components")
+        "node", "copies", F.coalesce("least", "doc").alias("component_id"))
+    linked = _linked(texts, nodes, labels, levels, size, percent)
+    known = stored(known.join(linked, "node", "left").withColumn(
+        "n_verified", F.coalesce("linked", F.lit(0)) + F.col("copies") - 1), "components")
     return docs.join(known, "node", "left").select(
         "doc_id", F.col("size").cast("long").alias("n_shingles"),
         F.coalesce("component_id", "doc_id").alias("component_id"),

@@ -403,6 +403,33 @@ def test_components_of_families(spark, monkeypatch):
     assert got == plain.components(docs)
 
 
+def test_links_are_all_counted(spark, monkeypatch):
+    """Families of different texts that are all alike, exact copies among them, against brute force;
+    one family in several chunks."""
+    random.seed(5)
+    docs = []
+    for family, members in ((0, 40), (1, 3), (2, 2), (3, 1)):
+        base = prose(700 + family, 150).split()
+        for k in range(members):
+            text = list(base)
+            for _ in range(k % 4):
+                text[random.randrange(len(text))] = f"w{k}"
+            docs.append((len(docs), " ".join(text)))
+    docs += [(len(docs), None), (len(docs) + 1, ""), (None, docs[0][1])]
+    sets = [plain.shingles(t) for _, t in docs]
+    want = Counter()
+    for x, (d, _) in enumerate(docs):
+        want[d, sum(1 for y in range(len(docs)) if x != y and sets[x] and 100 * len(
+            sets[x] & sets[y]) >= 75 * len(sets[x] | sets[y]))] += 1
+    assert sum(n for _, n in want) > 10 * len(docs)
+    for chunk, columns, sparse in ((1000, 2048, 32), (7, 16, 32), (7, 16, 0)):
+        monkeypatch.setattr(jaccard, "CHUNK", chunk)
+        monkeypatch.setattr(jaccard, "COLUMNS", columns)
+        monkeypatch.setattr(jaccard, "SPARSE", sparse)
+        df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+        assert Counter(pairs(jaccard.near_duplicates(df), "doc_id", "n_verified")) == want
+
+
 def test_ranks_file_is_only_read(vocabulary):
     line = open(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), "rb").readline().split()
     assert vocabulary.ranks[base64.b64decode(line[0])] == int(line[1])
