@@ -534,8 +534,9 @@ def _leaders(runs: DataFrame, percent: int) -> DataFrame:
         F.max(F.struct("weight", "leader"))["leader"].alias("leader"))
 
 
-def _open(runs: DataFrame, nodes: DataFrame, labels: DataFrame) -> DataFrame:
-    """Runs whose members lie in several components, and groups of several members, by member."""
+def _open(runs: DataFrame, nodes: DataFrame, labels: DataFrame) -> tuple[DataFrame, int]:
+    """Runs whose members lie in several components, and groups of several members, by member; and
+    how many rows they make when each chunk meets each."""
     members = nodes.join(labels, "node", "left").select(
         "node", "grp", "size", F.coalesce("label", "node").alias("label"))
     together = runs.select("run", "grp", "cap", "weight").join(members, "grp").unionByName(
@@ -544,19 +545,27 @@ def _open(runs: DataFrame, nodes: DataFrame, labels: DataFrame) -> DataFrame:
     mixed = together.groupBy("run").agg(
         F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("length")
     ).filter("low <> high").select(
-        "run", F.ceil(F.col("length") / CHUNK).cast("int").alias("parts"))
-    return stored(together.join(stored(mixed, "mixed-runs"), "run").select(
-        "run", "parts", "weight", "node", "size", "cap", "label"), "open-runs")
+        "run", "length", F.ceil(F.col("length") / CHUNK).cast("int").alias("parts"))
+    mixed = stored(mixed, "mixed-runs")
+    n_rows = mixed.agg(F.sum(F.col("length") * F.col("parts"))).first()[0] or 0
+    return stored(together.join(mixed, "run").select(
+        "run", "parts", "weight", "node", "size", "cap", "label"), "open-runs"), n_rows
 
 
-def _met(open_runs: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
+def _slots(n_rows: int) -> int:
+    """Tasks for so many rows, each getting about ``SLOT_ROWS``."""
+    return max(1, -(-n_rows // SLOT_ROWS))
+
+
+def _met(open_runs: DataFrame, n_rows: int, bits: DataFrame, percent: int) -> DataFrame:
     """(a, b, weight, size) of members of different components that a run leads to one another and
-    whose parity bits allow it. Chunks of a run meet each other, so none is large."""
+    whose parity bits allow it. Chunks of a run meet each other, so none is large; ``n_rows`` counts
+    a member once for each chunk that its own meets."""
     part = F.pmod(F.xxhash64("node"), "parts").cast("int")
     columns = ["run", "weight", "node", "size", "cap", "label", "bits", "part"]
     rows = open_runs.join(bits, "node").withColumn("part", part).select(
         *columns, F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"))
-    slots = max(1, -(-open_runs.count() // SLOT_ROWS))
+    slots = _slots(n_rows)
     i, j = F.least("part", "other"), F.greatest("part", "other")
     rows = rows.select(*columns, i.alias("i"), j.alias("j"),
                        F.pmod(F.xxhash64("run", i, j), F.lit(slots)).alias("slot"))
@@ -633,7 +642,7 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", s
     labels = stored(components(links), "labels")
 
     # Rest round.
-    rest = _met(_open(runs, nodes, labels), nodes.select("node", "bits"), percent).groupBy(
+    rest = _met(*_open(runs, nodes, labels), nodes.select("node", "bits"), percent).groupBy(
         "a", "b").agg(F.sum("weight").alias("weight"), F.max("size").alias("size")).filter(
         _enough(percent))
     more = _verified(texts, nodes, rest, levels, size, percent)

@@ -430,6 +430,19 @@ def test_links_are_all_counted(spark, monkeypatch):
         assert Counter(pairs(jaccard.near_duplicates(df), "doc_id", "n_verified")) == want
 
 
+def test_slots_count_copies_of_long_runs(spark, monkeypatch):
+    """A run of 40 members in 8 chunks makes 320 rows, not 40."""
+    monkeypatch.setattr(jaccard, "CHUNK", 5)
+    runs = spark.createDataFrame([(-1, k, 9, 4) for k in range(40)],
+                                 "run long, grp long, cap int, weight int")
+    nodes = spark.createDataFrame([(k, k, 9) for k in range(40)], "node long, grp long, size int")
+    labels = spark.createDataFrame([], "node long, label long")
+    rows, n_rows = jaccard._open(runs, nodes, labels)
+    assert (rows.count(), n_rows) == (40, 320)
+    monkeypatch.setattr(jaccard, "SLOT_ROWS", 100)
+    assert jaccard._slots(n_rows) == 4
+
+
 def test_ranks_file_is_only_read(vocabulary):
     line = open(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), "rb").readline().split()
     assert vocabulary.ranks[base64.b64decode(line[0])] == int(line[1])
