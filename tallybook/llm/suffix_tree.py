@@ -7,10 +7,11 @@ if it is frequent enough and its next symbols diverge from those of the context
 longest context that is a state: its share there, smoothed by the next shorter context's, in the
 proportion of how many different symbols have followed; the empty context's by all bytes alike.
 
-Learning counts every context of every training text: blocks count their own, buckets by the last
-two symbols add up and test. So what is gathered grows with the corpus, while the tree is bounded:
-a state has at least the share ``LEAST_SHARE`` of all symbols, so at most its inverse many can be
-at each depth, and a next symbol is listed with at least a sixteenth of that.
+Learning counts every context of every training text, and a context needs the same count and the
+same divergence to be kept however large the corpus is, so the tree grows with it and is nowhere
+whole. Blocks ask about their distinct codes; buckets by code add up; buckets by the last ``_DEALT``
+symbols get each code once, grow their part of the tree and score the codes. The values go back
+the same way. Only the contexts of up to ``_ROOT`` symbols, which are few, are known to all.
 
 Beside the model's score, each text gets a smoothed unigram score of its words. Word counts come
 back to the blocks that hold the words, so the vocabulary is never in one place.
@@ -22,7 +23,7 @@ probability 1/256. Repeated rows count and are scored as often as they occur.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -37,13 +38,13 @@ from tallybook.llm.frames import (BLOCKS, bucket_slices, buckets_for, once, pack
 
 U64 = np.uint64
 DEPTH = 6
-LEAST_SHARE = 5e-7
 LEAST_COUNT = 16
 DIVERGENCE = 12.0
 BLOCK_BYTES = 16 << 20
 _BLANK, _END = 32, 10
-# Contexts of this depth decide the bucket, and are always states.
-_ROOT = 2
+# Contexts of this depth are always states; those of the other decide the bucket that grows them.
+_ROOT, _DEALT = 2, 3
+_ROOT_BUCKETS = 16
 _MEMORY_BITS = 21
 
 
@@ -133,12 +134,16 @@ def _level(pairs: np.ndarray, counts: np.ndarray, keep: np.ndarray | None, least
                  pairs[listed], counts[listed])
 
 
-def grown(pairs: np.ndarray, counts: np.ndarray, least: float) -> list[Level]:
-    """States of depth ``_ROOT`` and more, from full contexts of one bucket."""
+def grown(pairs: np.ndarray, counts: np.ndarray, least: float,
+          roots: tuple[np.ndarray, np.ndarray] | None = None) -> list[Level]:
+    """States of depth ``_ROOT`` and more, from full contexts of one bucket; ``roots`` has (context,
+    next) of depth ``_ROOT`` with their counts in all buckets, unless they are in this one."""
     by_depth = {DEPTH: (pairs, counts)}
     for depth in range(DEPTH - 1, _ROOT - 1, -1):
         pairs, counts = _summed(_shorter(pairs), counts)
         by_depth[depth] = (pairs, counts)
+    if roots is not None:
+        by_depth[_ROOT] = roots
     kept: dict[int, np.ndarray | None] = {_ROOT: None}
     wanted = np.empty(0, U64)
     for depth in range(DEPTH, _ROOT, -1):
@@ -185,10 +190,21 @@ class Tree:
         return np.log10(out)
 
 
+@dataclass(frozen=True)
+class Told:
+    """What the tree says of a block's codes, in order."""
+
+    codes: np.ndarray
+    values: np.ndarray
+
+    def log10(self, codes: np.ndarray) -> np.ndarray:
+        return self.values[words.lookup(self.codes, codes)]
+
+
 class Scorer:
     """The tree with a memory of recent codes, of fixed size."""
 
-    def __init__(self, tree: Tree):
+    def __init__(self, tree: Tree | Told | None):
         self.tree = tree
         self.codes = np.full(1 << _MEMORY_BITS, ~U64(0), U64)
         self.values = np.zeros(1 << _MEMORY_BITS)
@@ -214,10 +230,10 @@ class Scorer:
 
 def _asks(batch: pa.RecordBatch, text: str, learn: str, n_buckets: int
           ) -> Iterator[tuple[str, int, bytes]]:
-    """A block's words with their training counts, and its training contexts."""
+    """A block's words and contexts with their training counts."""
     column = batch.column(batch.schema.get_field_index(text))
     learns = np.asarray(batch.column(batch.schema.get_field_index(learn)).fill_null(False))
-    word_parts, code_parts, ends, total = [], [], 0, 0
+    word_parts, code_parts, ends = [], [], 0
     for i, j, data, offsets in words.sliced(column):
         found = words.tokenize(data, offsets, words.FOLDED)
         some = learns[i:j]
@@ -228,22 +244,30 @@ def _asks(batch: pa.RecordBatch, text: str, learn: str, n_buckets: int
         codes = symbols(data, offsets, found)
         used = np.repeat(some, np.diff(codes.first))
         key, count = words.counted(codes.codes[used])
-        code_parts.append((key, count))
+        other, _ = words.counted(codes.codes[~used])
+        code_parts += [(key, count), (other, np.zeros(len(other), np.int64))]
         ends += int(some.sum())
-        total += int(used.sum())
-    yield "symbols", total, b""
     yield "ends", ends, b""
     key, count = _summed(*(np.concatenate([p[k] for p in word_parts]) for k in (0, 1)))
     for bucket, part in bucket_slices(key, n_buckets):
         yield "word", bucket, pack(key[part], count[part])
     key, count = _summed(*(np.concatenate([p[k] for p in code_parts]) for k in (0, 1)))
-    root = (words.mix(key >> U64(8 * (DEPTH + 1 - _ROOT))) >> U64(40)).astype(np.int64) % n_buckets
-    order = np.argsort(root, kind="stable")
-    root = root[order]
-    edges = np.searchsorted(root, np.arange(n_buckets + 1))
-    for bucket in np.flatnonzero(np.diff(edges)).tolist():
-        part = order[edges[bucket]:edges[bucket + 1]]
+    for bucket, part in _dealt(key, n_buckets):
         yield "context", bucket, pack(key[part], count[part])
+    some = count > 0
+    pairs = ((key >> U64(8 * (DEPTH + 1 - _ROOT))) << U64(8)) | (key & U64(255))
+    key, count = _summed(pairs[some], count[some])
+    for bucket, part in _dealt(key, _ROOT_BUCKETS):
+        yield "root", bucket, pack(key[part], count[part])
+
+
+def _dealt(keys: np.ndarray, n_buckets: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Positions of keys by bucket, in order, a bucket being a hash of the key."""
+    of = (words.mix(keys) >> U64(40)).astype(np.int64) % n_buckets
+    order = np.argsort(of, kind="stable")
+    edges = np.searchsorted(of[order], np.arange(n_buckets + 1))
+    for bucket in np.flatnonzero(np.diff(edges)).tolist():
+        yield bucket, order[edges[bucket]:edges[bucket + 1]]
 
 
 def _counts(group: pa.Table) -> pa.Table:
@@ -261,42 +285,69 @@ def _counts(group: pa.Table) -> pa.Table:
         "payload": pa.array([*payloads, b"", b""], pa.binary())})
 
 
-def _grow(least: float) -> Callable[[pa.Table], pa.Table]:
-    def run(group: pa.Table) -> pa.Table:
-        asks = [unpack(v.as_buffer()) for v in group["payload"]]
-        keys, counts = _summed(*(np.concatenate([a[k] for a in asks]) for k in (0, 1)))
-        levels = grown(keys, counts, least)
-        return pa.table({
-            "depth": pa.array(range(_ROOT, DEPTH + 1), pa.int32()),
-            "states": pa.array([pack(x.contexts, x.escape, x.mass, x.pairs, x.counts)
-                                for x in levels], pa.binary())})
-
-    return run
-
-
-def _joined(parts: list[bytes]) -> Level:
-    arrays = [unpack(p) for p in parts]
-    if not arrays:
-        return Level(np.empty(0, U64), np.empty(0), np.empty(0), np.empty(0, U64),
-                     np.empty(0, np.int64))
-    contexts, escape, mass, pairs, counts = (np.concatenate([a[k] for a in arrays])
-                                             for k in range(5))
-    a, b = np.argsort(contexts), np.argsort(pairs)
-    return Level(contexts[a], escape[a], mass[a], pairs[b], counts[b])
-
-
-def _tree(table: DataFrame) -> Tree:
-    total = table.filter("kind = 'symbols'").agg(F.sum("bucket")).first()[0] or 0
-    least = max(LEAST_COUNT, LEAST_SHARE * total)
-    rows = table.filter("kind = 'context'").groupBy("bucket").applyInArrow(
-        _grow(least), "depth int, states binary").collect()
-    levels = {d: _joined([r["states"] for r in rows if r["depth"] == d])
-              for d in range(_ROOT, DEPTH + 1)}
-    pairs, counts = levels[_ROOT].pairs, levels[_ROOT].counts
-    for depth in range(_ROOT - 1, -1, -1):
+def _gathered(group: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    asks = [unpack(v.as_buffer()) for v in group["payload"]]
+    return _summed(*(np.concatenate([a[k] for a in asks]) for k in (0, 1)))
+
+
+def _roots(table: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """(context, next) of depth ``_ROOT`` and their counts; at most 2^24, whatever the corpus."""
+    def add(group: pa.Table) -> pa.Table:
+        return pa.table({"payload": pa.array([pack(*_gathered(group))], pa.binary())})
+
+    found = [unpack(r["payload"]) for r in table.filter("kind = 'root'").groupBy(
+        "bucket").applyInArrow(add, "payload binary").collect()]
+    return _summed(np.concatenate([np.empty(0, U64), *[f[0] for f in found]]),
+                   np.concatenate([np.empty(0, np.int64), *[f[1] for f in found]]))
+
+
+def _valued(table: DataFrame, n_buckets: int) -> DataFrame:
+    """Answers to the blocks' contexts: the log10 probabilities that the tree gives their codes, to
+    seven digits."""
+    pairs, counts = roots = _roots(table)
+    low = [_level(pairs, counts, None, 0)]
+    for _ in range(_ROOT):
         pairs, counts = _summed(_shorter(pairs), counts)
-        levels[depth] = _level(pairs, counts, None, 0)
-    return Tree([levels[d] for d in range(DEPTH + 1)])
+        low.insert(0, _level(pairs, counts, None, 0))
+    shared = table.sparkSession.sparkContext.broadcast((low, roots))
+
+    def add(group: pa.Table) -> pa.Table:
+        key, total = _gathered(group)
+        parts = list(_dealt(key >> U64(8 * (DEPTH + 1 - _DEALT)), n_buckets))
+        return pa.table({"root": pa.array([r for r, _ in parts], pa.int64()),
+                         "bucket": pa.array([group["bucket"][0].as_py()] * len(parts), pa.int64()),
+                         "payload": pa.array([pack(key[p], total[p]) for _, p in parts],
+                                             pa.binary())})
+
+    def grow(group: pa.Table) -> pa.Table:
+        low, roots = shared.value
+        asks = [unpack(v.as_buffer()) for v in group["payload"]]
+        key, count = _summed(*(np.concatenate([a[k] for a in asks]) for k in (0, 1)))
+        some = count > 0
+        high = grown(key[some], count[some], LEAST_COUNT, roots)[1:] if some.any() else []
+        tree = Tree([*low, *high])
+        return pa.table({"bucket": group["bucket"],
+                         "payload": pa.array([pack(a[0], tree.log10(a[0])) for a in asks],
+                                             pa.binary())})
+
+    def answer(asked: pa.Table, told: pa.Table) -> pa.Table:
+        found = [unpack(v.as_buffer()) for v in told["payload"]]
+        key, value = (np.concatenate([f[k] for f in found]) for k in (0, 1))
+        order = np.argsort(key)
+        key, value = key[order], value[order].astype(np.float32)
+        own = [unpack(v.as_buffer())[0] for v in asked["payload"]]
+        n = len(own)
+        # Buckets of words are 0 and more.
+        return pa.table({"kind": pa.array(["answer"] * n, pa.string()), "block": asked["block"],
+                         "bucket": pa.array([-1 - b for b in asked["bucket"].to_pylist()],
+                                            pa.int64()),
+                         "payload": pa.array([pack(value[words.lookup(key, k)]) for k in own],
+                                             pa.binary())})
+
+    asked = table.filter("kind = 'context'")
+    sums = asked.groupBy("bucket").applyInArrow(add, "root long, bucket long, payload binary")
+    values = sums.groupBy("root").applyInArrow(grow, "bucket long, payload binary")
+    return asked.groupBy("bucket").cogroup(values.groupBy("bucket")).applyInArrow(answer, BLOCKS)
 
 
 def score(df: DataFrame, learn: str, text: str = "text", prior: float = 0.1) -> DataFrame:
@@ -321,7 +372,7 @@ def score(df: DataFrame, learn: str, text: str = "text", prior: float = 0.1) ->
     ends = sums.get("ends") or 0
     total = (sums.get("tokens") or 0) + ends
     distinct = (sums.get("known") or 0) + (ends > 0)
-    shared, tree_name = df.sparkSession.sparkContext.broadcast(_tree(table)), uuid.uuid4().hex
+    tree_name = uuid.uuid4().hex
 
     def base(count: np.ndarray | int) -> np.ndarray:
         return np.log10((count + prior) / (total + prior * (distinct + 1)))
@@ -337,7 +388,13 @@ def score(df: DataFrame, learn: str, text: str = "text", prior: float = 0.1) ->
         counts = np.zeros(len(keys), np.int64)
         for bucket, part in bucket_slices(keys, n_buckets):
             counts[part] = told[bucket][0]
-        scorer = once(tree_name, lambda: Scorer(shared.value))
+        codes = words.counted(np.concatenate([np.empty(0, U64), *[
+            words.counted(symbols(data, offsets, own).codes)[0] for data, offsets, own in found]]))[0]
+        values = np.zeros(len(codes))
+        for bucket, part in _dealt(codes, n_buckets):
+            values[part] = told[-1 - bucket][0]
+        scorer = once(tree_name, lambda: Scorer(None))
+        scorer.tree = Told(codes, values)
         parts = [[], [], [], []]
         for data, offsets, own in found:
             count = counts[words.lookup(keys, own.hashes)]
@@ -356,4 +413,5 @@ def score(df: DataFrame, learn: str, text: str = "text", prior: float = 0.1) ->
             out = out.append_column(name, pa.array(values))
         return out
 
-    return with_answers(table, answers.filter("kind = 'answer'"), schema, work)
+    told = answers.filter("kind = 'answer'").unionByName(_valued(table, n_buckets))
+    return with_answers(table, told, schema, work)

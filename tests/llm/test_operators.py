@@ -125,6 +125,30 @@ def test_suffix_tree_probabilities():
     assert once == pytest.approx(want) and twice == pytest.approx(want)
 
 
+def test_suffix_tree_keeps_states_by_count_alone(spark, monkeypatch):
+    """Scores are those of one tree over all contexts that occur ``LEAST_COUNT`` times, whatever
+    share of the corpus that is."""
+    monkeypatch.setattr(suffix_tree, "LEAST_SHARE", 1e-2, raising=False)
+    texts = [prose(k % 7, 150) for k in range(60)] + [None, "a", "zz " + prose(3, 20)]
+    rows = [(k, t, k % 5 != 0) for k, t in enumerate(texts)]
+
+    def codes_of(some):
+        data, offsets = words.texts(pa.array([t or "" for t in some]))
+        return suffix_tree.symbols(data, offsets, words.tokenize(data, offsets, words.FOLDED))
+
+    levels = suffix_tree.grown(*words.counted(codes_of([t for _, t, x in rows if x]).codes),
+                               suffix_tree.LEAST_COUNT)
+    pair, n = levels[0].pairs, levels[0].counts
+    for _ in range(2):
+        pair, n = suffix_tree._summed(suffix_tree._shorter(pair), n)
+        levels.insert(0, suffix_tree._level(pair, n, None, 0))
+    assert all(len(x.contexts) for x in levels)
+    want = suffix_tree.Scorer(suffix_tree.Tree(levels)).score(codes_of(texts))
+    df = spark.createDataFrame(rows, "doc_id long, text string, learn boolean").repartition(3)
+    got = dict(pairs(suffix_tree.score(df, "learn"), "doc_id", "score"))
+    assert got == pytest.approx(dict(enumerate(want.tolist())))
+
+
 def test_suffix_tree_beats_unigrams_on_held_out_text(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
     held = F.crc32(F.col("doc_id").cast("string")) % 10 == 0
