@@ -32,22 +32,29 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document of smallest id of every component. Rows that share an id are one document,
-    of which the row with the smallest text stays; rows without an id stay."""
-    found = stored(jaccard.near_duplicates(docs).select("doc_id", "component_id").filter(
-        F.col("doc_id").isNotNull()), "near-duplicates")
-    by_id = found.groupBy("doc_id").agg(
-        F.count("*").alias("n"),
-        F.max((F.col("doc_id") == F.col("component_id")).cast("int")).alias("stays"))
-    gone = stored(by_id.filter("stays = 0").select("doc_id"), "dropped")
-    kept = docs.join(_sized(gone), "doc_id", "left_anti")
-    repeated = stored(by_id.filter("stays = 1 and n > 1").select("doc_id"), "repeated")
+    """Keep one row of every component, whatever ids its rows share with others: that of smallest
+    id, rows without one being last; among rows of that id, one of the least hash. A row with no
+    other in its component stays, so does a row without words."""
+    key = F.xxhash64("doc_id", "text")
+    found = jaccard.near_duplicates(docs.withColumn("_key", key), "_key").filter(
+        "n_shingles > 0").groupBy(F.col("doc_id").alias("_key")).agg(
+        F.min("component_id").alias("component"), F.count("*").alias("n"))
+    found = stored(found, "near-duplicates")
+    several = found.groupBy("component").agg(F.sum("n").alias("rows")).filter("rows > 1")
+    ids = docs.groupBy(key.alias("_key")).agg(F.min("doc_id").alias("doc_id"))
+    members = stored(found.join(several.select("component"), "component").join(ids, "_key"),
+                     "members")
+    stays = members.groupBy("component").agg(F.min(F.struct(
+        F.col("doc_id").isNull(), "doc_id", "_key"))["_key"].alias("first"))
+    judged = stored(members.join(stays, "component").select(
+        "_key", "n", (F.col("_key") == F.col("first")).alias("stays")), "judged")
+    keyed = docs.withColumn("_key", key)
+    kept = keyed.join(_sized(judged.filter("not stays").select("_key")), "_key", "left_anti")
+    repeated = judged.filter("stays and n > 1").select("_key")
     if repeated.limit(1).count():
-        some = kept.join(_sized(repeated), "doc_id", "left_semi")
-        others = [c for c in docs.columns if c not in ("doc_id", "text")]
-        least = some.groupBy("doc_id").agg(F.min(F.struct("text", *others)).alias("row")).select(
-            "doc_id", "row.*")
-        kept = kept.join(_sized(repeated), "doc_id", "left_anti").unionByName(least)
+        least = kept.join(_sized(repeated), "_key", "left_semi").groupBy("_key").agg(
+            F.min(F.struct(*docs.columns)).alias("row")).select("_key", "row.*")
+        kept = kept.join(_sized(repeated), "_key", "left_anti").unionByName(least)
     return kept.select(*docs.columns)
 
 

@@ -18,6 +18,7 @@ from check import compare  # noqa: E402
 from tallybook.llm import catalog  # noqa: E402
 from tallybook.llm.frames import release, ship_package, stored, written  # noqa: E402
 from tests.llm import plain  # noqa: E402
+from tests.llm.conftest import prose  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 ROOT = Path(__file__).resolve().parents[2]
@@ -109,6 +110,19 @@ def test_stages_bear_odd_documents(spark, odd_docs, no_docs):
     assert {5, 8, 16} <= kept and not {6, 7, 9, 18} & kept
 
 
+def test_near_duplicates_are_judged_by_row(spark):
+    """Rows that share an id, or have none, are kept or dropped as their own texts ask for."""
+    a, b, c, d = (prose(900 + k, 60) for k in range(4))
+    rows = [(1, a), (5, a + " tail"), (5, b), (5, c), (None, d), (None, d), (None, d + " tail"),
+            (7, c), (8, b + " tail"), (8, b + " tail"), (None, None), (None, None), (9, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = Counter(tuple(r) for r in corpus_pipeline.drop_near_duplicates(spark, docs, SF).collect())
+    ends = [r for r in got if r[0] is None and r[1]]
+    assert len(ends) == 1 and ends[0][1] in (d, d + " tail") and got[ends[0]] == 1
+    assert got - Counter(ends) == Counter([(1, a), (5, b), (5, c), (None, None), (None, None),
+                                           (9, "")])
+
+
 def test_nothing_else_imports_the_package(tmp_path):
     for path in (ROOT / "tallybook").rglob("*.py"):
         if "llm" not in path.parts:
