@@ -24,8 +24,11 @@ BROADCAST_IDS = 1_000_000
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Learn from the documents that name their language; those whose text has none (null, or no
-    letter) are rejected. Ambiguous ones stay: a short clean text is often ambiguous."""
+    letter) are rejected. Ambiguous ones stay: a short clean text is often ambiguous. If no document
+    names a language, there is nothing to tell apart, and the letters alone decide."""
     model = language.fit(docs)
+    if not model.languages:
+        return docs.filter(F.col("text").rlike(r"\p{L}"))
     found = language.predict(docs.withColumn("_text", F.col("text")), model, "_text", "_lang",
                              "_score", "_unsure")
     return found.filter(F.col("_lang") != language.UNKNOWN).select(*docs.columns)

@@ -123,6 +123,14 @@ def test_near_duplicates_are_judged_by_row(spark):
                                            (9, "")])
 
 
+def test_unlabelled_documents_stay(spark):
+    rows = [(1, prose(1, 30), None), (2, "Re.", None), (3, None, None), (4, "12 !", None),
+            (5, "\u6f22\u5b57", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    kept = corpus_pipeline.identify_language(spark, docs, SF)
+    assert {r["doc_id"] for r in kept.collect()} == {1, 2, 5} and kept.columns == docs.columns
+
+
 def test_nothing_else_imports_the_package(tmp_path):
     for path in (ROOT / "tallybook").rglob("*.py"):
         if "llm" not in path.parts:
