@@ -7,9 +7,9 @@ also starts in a document of smaller id is removed; windows are judged on the in
    its hash alone (winnowing: the least of each stretch), so copies select the same ones. Blocks ask
    which of their phrases occur in several documents; counts are summed by phrase.
 2. *Automata.* A block is told which of its phrases recur and compiles these into an Aho-Corasick
-   automaton over word symbols. So the recurring phrases of the corpus are sharded by the documents
-   that can hold them. The automaton then streams over all documents of the block and locates
-   every occurrence of every phrase, selected there or not.
+   automaton over word symbols, which streams over the documents of that block and locates every
+   occurrence. Hashing has located what matters by then: every repeated window holds a phrase that
+   was selected in it, so the automaton adds no window to those around the selected places.
 3. *Windows.* Windows around located phrases are asked about by hash; a window's smallest document
    is the answer. A window's words lead to one phrase at least, so no repeated window is missed.
 4. Words under a window that started in a smaller document go.
