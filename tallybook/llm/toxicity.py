@@ -7,7 +7,8 @@ kept, so scoring is a table look-up per n-gram and a sum over the distinct ones
 
 Learning takes a bounded sample of labelled rows, ``SAMPLE`` a class by hash, balanced so that the
 rare class is seen well; the intercept then puts the true share of toxic labels back. Its ids are
-few, so they are broadcast, and no text is shuffled.
+few, so they are broadcast, and only sampled texts are shuffled. Documents that share an id are
+seen once, by the smallest of their texts.
 
 Null and empty texts have no features and get the score of the intercept. Labels other than 0 and
 1, null labels and labels of missing documents are passed over. With only one class labelled, every
@@ -134,10 +135,14 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "d
         .groupBy("label").agg(F.count("*").alias("n")).collect()}
     if len(shares) < 2:
         return Model(np.zeros(d), 30.0 if 1 in shares else -30.0)
-    picked = [(r["id"], r["label"]) for r in _sample(labels, doc_id, label, sample).collect()]
+    picked = sorted({(r["id"], r["label"])
+                     for r in _sample(labels, doc_id, label, sample).collect()})
     ids = spark.createDataFrame(picked, "id long, label int")
     rows = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).join(
-        F.broadcast(ids), "id").select("label", "text").repartition(SAMPLE_TASKS)
+        F.broadcast(ids), "id")
+    # One row an id and label, however many rows of documents share the id.
+    rows = rows.groupBy("id", "label").agg(F.min("text").alias("text")).select(
+        "label", "text").repartition(SAMPLE_TASKS)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros((2, d), np.int32)

@@ -390,6 +390,19 @@ def test_toxicity(spark, odd_docs, no_docs):
                    toxicity.score(odd_docs, plain_model).collect())
 
 
+def test_toxicity_takes_one_row_of_an_id(spark):
+    """Rows that share a sampled id change nothing in what is learned, however many they are."""
+    rows = [(k, ("vile rotten scum " if k % 2 else "calm kind friend ") + prose(k % 9, 12))
+            for k in range(60)]
+    schema = "doc_id long, text string"
+    labels = spark.createDataFrame([(k, k % 2) for k in range(60)], "doc_id long, toxic int")
+    more = [(0, rows[0][1] + f" z{k} vile rotten scum") for k in range(500)]
+    once, often = (toxicity.fit(spark.createDataFrame(r, schema), labels)
+                   for r in (rows, rows + more))
+    assert np.any(once.weights) and often.weights == pytest.approx(once.weights)
+    assert often.intercept == pytest.approx(once.intercept)
+
+
 # -- 10 n-gram Jaccard join ----------------------------------------------------------------
 
 def test_components(spark, odd_docs, no_docs):
