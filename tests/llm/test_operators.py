@@ -149,6 +149,22 @@ def test_suffix_tree_keeps_states_by_count_alone(spark, monkeypatch):
     assert got == pytest.approx(dict(enumerate(want.tolist())))
 
 
+def test_codes_of_one_ending_are_dealt_out():
+    """Contexts that end in the same two symbols are summed and grown in several buckets."""
+    data, offsets = words.texts(pa.array([f"{a}{b}he the" for a in "abcdefgh" for b in "ijklmnop"]))
+    found = words.tokenize(data, offsets, words.FOLDED)
+    codes = words.counted(suffix_tree.symbols(data, offsets, found).codes)[0]
+    shift = np.uint64(8 * (suffix_tree.DEPTH - 1))
+    some = codes[codes >> shift == ord("h") << 8 | ord("p")]
+    assert len(some) == 8
+    whole = [len(p) for _, p in suffix_tree._dealt(some, 4)]
+    assert sum(whole) == 8 and len(whole) > 1
+    roots = suffix_tree._dealt(codes >> np.uint64(8 * (suffix_tree.DEPTH + 1 - suffix_tree._DEALT)),
+                               16)
+    ends = [b for b, p in roots if (codes[p] >> shift == ord("e") << 8 | ord("h")).any()]
+    assert len(ends) > 1
+
+
 def test_suffix_tree_beats_unigrams_on_held_out_text(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
     held = F.crc32(F.col("doc_id").cast("string")) % 10 == 0
