@@ -9,10 +9,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallybook.llm import (bpe, chat, contamination, imatch, jaccard, language, oracles, passages,
-                           suffix_tree, toxicity, warc)
+                           sharding, suffix_tree, toxicity, warc)
 
 Query = Callable[[SparkSession, str], DataFrame]
 VOCABULARY_FILE = "byte_bpe_multi_50k.tiktoken"
+SHARDS = 8
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -107,6 +108,17 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_shingles", "component_id")
 
 
+def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard and slot of every document. Shards hold equally many rows, one more at most."""
+    text = F.coalesce("text", F.lit(""))
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", (F.octet_length(text) + 1).cast("long").alias("size"),
+        F.crc32(text).alias("text_crc32"))
+    return sharding.shuffled(docs, ["doc_id"], SHARDS, oracles.SHARD_SEED).select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_chat_format": op1_chat_format,
     "op2_suffix_tree": op2_suffix_tree,
@@ -118,6 +130,7 @@ QUERIES: dict[str, Query] = {
     "op8_imatch": op8_imatch,
     "op9_toxicity": op9_toxicity,
     "op10_ngram_jaccard": op10_ngram_jaccard,
+    "op13_sharding": op13_sharding,
 }
 
 ORACLE_SQL: dict[str, str] = dict(oracles.SQL)

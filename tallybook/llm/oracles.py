@@ -6,6 +6,10 @@ none; the tests hold those against plain versions, round trips and held-out accu
 
 from __future__ import annotations
 
+from tallybook.llm.sharding import ROUNDS, round_keys
+
+SHARD_SEED = 20_261_204
+
 _WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _NORMAL = (r"regexp_extract_all(" + _LOWER + r", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
@@ -112,10 +116,57 @@ SELECT r.doc_id, CAST(coalesce(max(s.n), 0) AS BIGINT) AS n_shingles, min(r.othe
 FROM reach r LEFT JOIN sizes s ON s.doc_id = r.doc_id GROUP BY r.doc_id
 """
 
+
+
+def _crc32(column: str) -> str:
+    """The checksum of a text's bytes, one byte after another, by a table of 256 remainders."""
+    table = []
+    for byte in range(256):
+        for _ in range(8):
+            byte = (byte >> 1) ^ (0xEDB88320 if byte & 1 else 0)
+        table.append(byte)
+    numbers = (f"list_transform(regexp_extract_all(hex(encode({column})), '..'), "
+               "lambda x: CAST('0x' || x AS UINTEGER))")
+    return (f"CAST(xor(list_reduce({numbers}, lambda c, b: xor(c >> 8, "
+            f"({table}::UINTEGER[])[(xor(c, b) & 255) + 1]), 4294967295::UINTEGER), "
+            "4294967295::UINTEGER) AS BIGINT)")
+
+
+def _mixed(half: str, key: str) -> str:
+    low = "4294967295::UBIGINT"
+    x = f"(({half} + {key}) & {low})"
+    for by, shift in ((None, 16), (0x85EBCA6B, 13), (0xC2B2AE35, 16)):
+        x = x if by is None else f"(({x} * {by}::UBIGINT) & {low})"
+        x = f"(list_transform([{x}], lambda x{shift}: xor(x{shift}, x{shift} >> {shift}))[1])"
+    return x
+
+
+# A number goes through all rounds again until it lands below n.
+SHARDS = f"""
+WITH RECURSIVE rows AS (
+  SELECT doc_id, coalesce(text, '') AS x,
+    row_number() OVER (ORDER BY doc_id NULLS FIRST) - 1 AS place FROM documents),
+size AS (SELECT count(*) AS n, CAST(greatest(1, ceil(log2(count(*)) / 2)) AS INTEGER) AS h FROM rows),
+walk AS (
+  SELECT place, CAST(place >> h AS UBIGINT) AS l,
+    CAST(place AS UBIGINT) & CAST((1 << h) - 1 AS UBIGINT) AS r, 0 AS k, n, h FROM rows, size
+  UNION ALL
+  SELECT place, CASE WHEN k = {ROUNDS} THEN l ELSE r END,
+    CASE WHEN k = {ROUNDS} THEN r ELSE xor(l, {_mixed("r", f"({round_keys(SHARD_SEED)}::UBIGINT[])[k + 1]")}
+      & CAST((1 << h) - 1 AS UBIGINT)) END,
+    CASE WHEN k = {ROUNDS} THEN 0 ELSE k + 1 END, n, h
+  FROM walk WHERE k < {ROUNDS} OR (l << h) + r >= n)
+SELECT doc_id, CAST(octet_length(encode(x)) + 1 AS BIGINT) AS size, {_crc32("x")} AS text_crc32,
+  'rows' AS law, CAST(((l << h) + r) % 8 AS INTEGER) AS shard,
+  CAST(((l << h) + r) // 8 AS BIGINT) AS slot, CAST(NULL AS INTEGER) AS grown_shard
+FROM rows JOIN walk USING (place) WHERE k = {ROUNDS} AND (l << h) + r < n
+"""
+
 SQL: dict[str, str] = {
     "op1_chat_format": CHAT,
     "op3_warc": WARC,
     "op6_substring_dedup": REPEATS,
     "op7_decontaminate": CONTAMINATION,
     "op10_ngram_jaccard": JACCARD,
+    "op13_sharding": SHARDS,
 }
