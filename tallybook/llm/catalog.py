@@ -9,11 +9,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallybook.llm import (bpe, chat, contamination, imatch, jaccard, language, oracles, passages,
-                           sharding, suffix_tree, toxicity, warc)
+                           sharding, suffix_tree, toxicity, warc, whitening)
 
 Query = Callable[[SparkSession, str], DataFrame]
 VOCABULARY_FILE = "byte_bpe_multi_50k.tiktoken"
 SHARDS = 8
+COMPONENTS = 4
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -108,6 +109,19 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_shingles", "component_id")
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whitened leading components of every embedding, with the fit's figures."""
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    model = whitening.fit(rows, "embedding", COMPONENTS)
+    explained = F.array(*[F.lit(e) for e in model.explained]).cast("array<double>")
+    return whitening.transform(rows, model, "embedding").select(
+        "vec_id", "deviation", F.posexplode("whitened").alias("place", "whitened")).select(
+        "vec_id", (F.col("place") + 1).cast("int").alias("component"),
+        F.lit(model.n).cast("long").alias("n"), "deviation", "whitened",
+        F.get(explained, F.col("place")).alias("explained"),
+        F.lit(model.identity_error).alias("identity_error"))
+
+
 def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shard and slot of every document. Shards hold equally many rows, one more at most."""
     text = F.coalesce("text", F.lit(""))
@@ -130,6 +144,7 @@ QUERIES: dict[str, Query] = {
     "op8_imatch": op8_imatch,
     "op9_toxicity": op9_toxicity,
     "op10_ngram_jaccard": op10_ngram_jaccard,
+    "op11_whitening": op11_whitening,
     "op13_sharding": op13_sharding,
 }
 
