@@ -36,7 +36,8 @@ def compare_with_plain(spark, rows, model_of, tolerance):
     signs = np.sign((found * model.components).sum(axis=0))
     for r in out:
         own = np.array([math.floor(256 * c) for c in by_id[r["vec_id"]]])
-        assert r["deviation"] == sum((n * int(a) - int(s)) ** 2 for a, s in zip(own, sums, strict=True))
+        exact = sum((n * int(a) - int(s)) ** 2 for a, s in zip(own, sums, strict=True))
+        assert r["deviation"] == (exact if exact < 1 << 63 else None)
         white = ((own - sums / n) @ found) * signs / np.sqrt(values)
         assert r["whitened"] == pytest.approx(white, abs=tolerance)
 
