@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallybook.llm import (bpe, chat, contamination, imatch, jaccard, language, oracles, passages,
-                           sharding, suffix_tree, toxicity, warc, whitening)
+                           repair, sharding, suffix_tree, toxicity, warc, whitening)
 
 Query = Callable[[SparkSession, str], DataFrame]
 VOCABULARY_FILE = "byte_bpe_multi_50k.tiktoken"
@@ -122,6 +122,22 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(model.identity_error).alias("identity_error"))
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Damage every conversation, then repair it by the cheapest edits."""
+    rows = table(spark, sf_dir, "conversations")
+    found = repair.repair(repair.damaged(rows))
+    ids = rows.select(F.col("conv_id").alias("id")).distinct()
+    ended = repair.audits(found.edits).withColumnRenamed("conv_id", "same")
+    joined = ids.join(found.conversations, F.col("id").eqNullSafe(F.col("conv_id")), "left").join(
+        ended, F.col("id").eqNullSafe(F.col("same")), "left")
+    return joined.select(
+        F.col("id").alias("conv_id"),
+        *[F.coalesce(c, F.lit(0)).cast("long").alias(c)
+          for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
 def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shard and slot of every document. Shards hold equally many rows, one more at most."""
     text = F.coalesce("text", F.lit(""))
@@ -145,6 +161,7 @@ QUERIES: dict[str, Query] = {
     "op9_toxicity": op9_toxicity,
     "op10_ngram_jaccard": op10_ngram_jaccard,
     "op11_whitening": op11_whitening,
+    "op12_conversation_repair": op12_conversation_repair,
     "op13_sharding": op13_sharding,
 }
 

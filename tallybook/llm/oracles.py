@@ -162,11 +162,94 @@ SELECT doc_id, CAST(octet_length(encode(x)) + 1 AS BIGINT) AS size, {_crc32("x")
 FROM rows JOIN walk USING (place) WHERE k = {ROUNDS} AND (l << h) + r < n
 """
 
+
+
+def _repairs() -> str:
+    """All cheapest ways to each of four states (1: none yet, 2: system, 3: user, 4: assistant), turn
+    by turn; of equal cost the least letters."""
+    follows = {1: 3, 2: 3, 3: 4, 4: 3}
+    names = {2: "s", 3: "u", 4: "a"}
+    ways: dict[int, list[str]] = {k: [] for k in follows}
+    for state in follows:
+        for inserted in range(3):
+            at, letters, lines = state, "I" * inserted, ""
+            for _ in letters:
+                at = follows[at]
+                lines += chr(10) + {3: "user:", 4: "assistant:"}[at]
+            there = f"st[{state}]"
+
+            def way(to: int, when: str, letter: str, cost: str, line: str,
+                    there: str = there, letters: str = letters, lines: str = lines) -> None:
+                ways[to].append(
+                    f"CASE WHEN {there} IS NOT NULL AND {when} THEN {{'c': {there}.c + "
+                    f"{2 * len(letters)} + {cost}, 'a': {there}.a || '{letters}{letter}', "
+                    f"'t': {there}.t || '{lines}' || {line}}} END")
+
+            way(at, "true", "D", "3", "''")
+            to = follows[at]
+            new = {3: "user:", 4: "assistant:"}[to]
+            way(to, "NOT gone", "R", "2 + cut", f"chr(10) || '{new}' || x")
+            for kept in {to, 2} if at == 1 else {to}:
+                way(kept, f"NOT gone AND i = '{names[kept]}'", "K", "cut",
+                    "chr(10) || r || ':' || x")
+    return ", ".join("list_min(list_filter([" + ", ".join(w) + "], lambda y: y IS NOT NULL))"
+                     for w in ways.values())
+
+
+REPAIR = f"""
+WITH RECURSIVE faulty AS (
+  SELECT conv_id, turn, {_crc32("coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ')")} % 20 AS f,
+    coalesce(role, ' ') AS r, coalesce(text, ' ') AS x FROM conversations),
+rows AS (
+  SELECT conv_id, turn, CASE WHEN f = 4 THEN 'user' ELSE r END AS r,
+    CASE WHEN f = 1 THEN '' WHEN f = 2 THEN regexp_replace(x, '[.!?]', '', 'g') ELSE x END AS x,
+    unnest(CASE WHEN f = 3 THEN [0, 1] ELSE [0] END) AS copy
+  FROM faulty WHERE f <> 0),
+placed AS (
+  SELECT *, substr(r, 1, 1) AS i, md5(CAST(length(r) AS VARCHAR) || ':' || r || x) AS m,
+    NOT regexp_matches(x, '[^\x20\x09-\x0D]') AS blank,
+    NOT regexp_matches(x, '[.!?][\x20\x09-\x0D]*\\z') AS open FROM rows),
+judged AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, m, copy) AS place,
+    row_number() OVER (PARTITION BY conv_id, m ORDER BY turn NULLS FIRST, copy) > 1 AS again
+  FROM placed),
+turns AS (
+  SELECT *, blank OR again AS gone, CASE WHEN open AND NOT blank THEN 1 ELSE 0 END AS cut,
+    lag(i) OVER (PARTITION BY conv_id ORDER BY place) AS before FROM judged),
+faults AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+    count(*) FILTER (blank) AS blank, count(*) FILTER (again AND NOT blank) AS duplicate,
+    count(*) FILTER (open AND NOT gone) AS truncated,
+    count(*) FILTER (before IS NOT NULL AND before || i NOT IN ('su', 'ua', 'au')) AS illegal,
+    max(place) AS n FROM turns GROUP BY conv_id),
+walk AS (
+  SELECT conv_id, CAST(0 AS BIGINT) AS k,
+    CAST([{{'c': 0, 'a': '', 't': ''}}, NULL, NULL, NULL]
+         AS STRUCT(c BIGINT, a VARCHAR, t VARCHAR)[]) AS st FROM faults
+  UNION ALL
+  SELECT w.conv_id, place, CAST([{_repairs()}] AS STRUCT(c BIGINT, a VARCHAR, t VARCHAR)[])
+  FROM walk w JOIN turns t ON t.place = w.k + 1 AND t.conv_id IS NOT DISTINCT FROM w.conv_id),
+ended AS (
+  SELECT conv_id, list_min(list_filter([st[1],
+    CASE WHEN st[2] IS NOT NULL THEN {{'c': st[2].c + 4, 'a': st[2].a || 'II',
+      't': st[2].t || chr(10) || 'user:' || chr(10) || 'assistant:'}} END,
+    CASE WHEN st[3] IS NOT NULL THEN {{'c': st[3].c + 2, 'a': st[3].a || 'I',
+      't': st[3].t || chr(10) || 'assistant:'}} END, st[4]], lambda y: y IS NOT NULL)) AS best
+  FROM walk JOIN faults f USING (conv_id) WHERE k = n)
+SELECT c.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank,
+  coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+  coalesce(illegal, 0) AS illegal, coalesce(best.c, 0) AS cost, coalesce(best.a, '') AS audit,
+  sha256(coalesce(substr(best.t, 2), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c
+LEFT JOIN faults f USING (conv_id) LEFT JOIN ended e USING (conv_id)
+"""
+
 SQL: dict[str, str] = {
     "op1_chat_format": CHAT,
     "op3_warc": WARC,
     "op6_substring_dedup": REPEATS,
     "op7_decontaminate": CONTAMINATION,
     "op10_ngram_jaccard": JACCARD,
+    "op12_conversation_repair": REPAIR,
     "op13_sharding": SHARDS,
 }
