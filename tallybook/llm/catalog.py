@@ -104,9 +104,9 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Near duplicates by word shingles: the component of every document."""
-    return jaccard.near_duplicates(table(spark, sf_dir, "documents")).select(
-        "doc_id", "n_shingles", "component_id")
+    """Near duplicates by word shingles: the component and the links of every document."""
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents")).withColumnRenamed(
+        "n_verified", "n_links")
 
 
 def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -16,8 +16,8 @@ meet by shingle, as packed arrays, and the sets behind them are compared only at
    pair, unless the parity bits of their sets already differ in more places than similar sets can.
    What is already connected needs no further link to make the components, and still no link
    between components is lost;
-5. all links being within components by now, each component's sets are compared with one another,
-   chunk by chunk and each pair once, and every set's links are counted.
+5. on request, all links being within components by now, each component's sets of near sizes are
+   compared with one another, chunk by chunk and each pair once, and every set's links are counted.
 
 Comparisons bring a leader's set and a bounded number of members together; sets travel only for
 texts that have a candidate (a filter of fixed size tells most others apart, an exact join the
@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallybook.llm import words
-from tallybook.llm.frames import (bucket_slices, buckets_for, pack, prepare, stored, trim, trimmed,
+from tallybook.llm.frames import (bucket_slices, buckets_for, freed, pack, prepare, stored, trimmed,
                                   unpack)
 from tallybook.llm.graph import components
 
@@ -63,6 +63,9 @@ SLOT_SHINGLES = 1 << 20
 COLUMNS = 2048
 LISTED = 1 << 21
 SPARSE = 32
+# Classes of size that sets which are similar may be apart; keys that are broadcast at most.
+NEAR_CLASSES = 4
+LARGE_LABELS = 100_000
 
 
 # -- sets ----------------------------------------------------------------------------------
@@ -152,7 +155,8 @@ def _merged(df: DataFrame, make, merge, length: int, dtype) -> np.ndarray:
                          "bits": pa.array([pack(total)], pa.binary())})
 
     out = np.zeros(length, dtype)
-    for r in df.mapInArrow(trimmed(run), schema).groupBy("part").applyInArrow(join, schema).collect():
+    for r in df.mapInArrow(trimmed(run), schema).groupBy("part").applyInArrow(
+            freed(join), schema).collect():
         out[r["part"] * step:(r["part"] + 1) * step] = unpack(r["bits"])[0]
     return out
 
@@ -315,13 +319,10 @@ def _indexed(texts: DataFrame, levels, n_buckets: int, size: int, percent: int)
 
     def gather(group: pa.Table) -> pa.Table:
         asks = [unpack(v.as_buffer()) for v in group["payload"]]
-        found = _doc_table(asks) if group["bucket"][0].as_py() < 0 else _runs(asks, percent)
-        del asks
-        trim()
-        return found
+        return _doc_table(asks) if group["bucket"][0].as_py() < 0 else _runs(asks, percent)
 
     asked = texts.mapInArrow(trimmed(run), "bucket long, payload binary")
-    return asked.groupBy("bucket").applyInArrow(gather, RUNS)
+    return asked.groupBy("bucket").applyInArrow(freed(gather), RUNS)
 
 
 def _ask(bucket: int, payload: bytes) -> pa.RecordBatch:
@@ -446,30 +447,65 @@ def _alike(one: list[np.ndarray], two: list[np.ndarray], percent: int) -> np.nda
     return 100 * common >= percent * (total - common)
 
 
+def _size_class(size: Column, percent: int) -> Column:
+    """Sizes by a common factor: sets that are more than ``NEAR_CLASSES`` classes apart differ too
+    much in size to be similar."""
+    step = (100 / percent) ** (1 / (NEAR_CLASSES - 1)) if percent < 100 else 1.5
+    return F.floor(F.log(F.greatest(size, F.lit(1)).cast("double")) / F.log(F.lit(step))).cast("long")
+
+
 def _linked(texts: DataFrame, nodes: DataFrame, labels: DataFrame, levels, size: int, percent: int
             ) -> DataFrame:
     """(node, linked): rows of other sets that the node's set is similar enough to.
 
-    All links are within components, so each component's sets are compared with one another, each
-    pair once: chunk by chunk, a task taking chunk pairs of about ``SLOT_SHINGLES``. What
-    leaves a task is a count for each set, however many links there are."""
+    All links are within components. A small component's sets are compared with one another in one
+    go; a large one is cut into chunks by size class and hash, and only chunks of near classes meet,
+    a task taking chunk pairs of about ``SLOT_SHINGLES``. What leaves a task is a count for each set,
+    however many links there are."""
     members = stored(nodes.select("node", "doc", "size", "copies").join(labels, "node"), "members")
     whole = stored(members.groupBy("label").agg(
-        F.count("*").alias("n"), F.sum("copies").alias("total"), F.sum("size").alias("shingles")
-    ).withColumn("parts", F.ceil(F.greatest(
-        F.col("n") / CHUNK, F.col("shingles") / SLOT_SHINGLES)).cast("int")), "wholes")
-    # The link of a component of two is what made it.
-    two = members.join(whole.filter("n = 2").select("label", "total"), "label").select(
-        "node", (F.col("total") - F.col("copies")).alias("linked"))
-    more = whole.filter("n > 2")
-    slots = more.agg(F.sum(F.col("shingles") * F.col("parts"))).first()[0] or 0
-    part, other = F.col("part"), F.col("other")
-    i, j = F.least(part, other), F.greatest(part, other)
-    routes = members.join(more.select("label", "parts"), "label").withColumn(
-        "part", F.pmod(F.xxhash64("node"), "parts").cast("int")).withColumn(
-        "other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(
+        F.count("*").alias("n"), F.sum("size").alias("shingles"),
+        F.min(F.struct("node", "copies")).alias("one"),
+        F.max(F.struct("node", "copies")).alias("two")), "wholes")
+    # The link of a component of two is what made it; both are here, so nothing is joined.
+    couples = whole.filter("n = 2")
+    two = couples.select("one.node", F.col("two.copies").alias("linked")).unionByName(
+        couples.select("two.node", F.col("one.copies").alias("linked")))
+    others = members.join(two.select("node"), "node", "left_anti")
+    large = whole.filter((F.col("n") > CHUNK) | (F.col("shingles") > SLOT_SHINGLES)).select("label")
+    if large.count() <= LARGE_LABELS:
+        large = F.broadcast(large)
+    others = stored(others.join(large.withColumn("is_large", F.lit(True)), "label", "left").select(
+        "node", "doc", "size", "copies", "label", F.when(
+            F.col("is_large"), _size_class(F.col("size"), percent)).alias("class")), "classed")
+    chunks = stored(others.filter("class is not null").groupBy("label", "class").agg(
+        F.count("*").alias("n"), F.sum("size").alias("shingles")).withColumn(
+        "parts", F.ceil(F.greatest(F.col("n") / CHUNK, F.col("shingles") / SLOT_SHINGLES)).cast(
+            "long")), "link-chunks")
+    other = chunks.select(F.col("label").alias("l"), F.col("class").alias("c"),
+                          F.col("parts").alias("p"))
+    near = stored(chunks.join(other, (F.col("label") == F.col("l")) & (
+        F.abs(F.col("class") - F.col("c")) <= NEAR_CLASSES)).groupBy(
+        "label", "class", "parts", "shingles").agg(
+        F.sort_array(F.collect_list(F.struct("c", "p"))).alias("near"), F.sum("p").alias("met")),
+        "near-chunks")
+    chunk_shingles = near.agg(F.sum(F.col("shingles") * F.col("met"))).first()[0] or 0
+    whole_shingles = whole.filter("n > 2").agg(F.sum("shingles")).first()[0] or 0
+    slots = F.lit(-(-(chunk_shingles + whole_shingles) // SLOT_SHINGLES) or 1)
+    # A chunk is known by its class and part; a small component is one chunk.
+    classes = F.broadcast(near) if near.count() <= LARGE_LABELS else near
+    mine = F.col("class") * (1 << 32) + F.pmod(F.xxhash64("node"), "parts")
+    theirs = F.flatten(F.transform("near", lambda x: F.transform(
+        F.sequence(F.lit(0).cast("long"), x["p"] - 1), lambda k: x["c"] * (1 << 32) + k)))
+    split = others.filter("class is not null").join(classes, ["label", "class"]).select(
+        "node", "doc", "copies", "label", mine.alias("part"), F.explode(theirs).alias("other"))
+    none = F.lit(0).cast("long")
+    undivided = others.filter("class is null").select(
+        "node", "doc", "copies", "label", none.alias("part"), none.alias("other"))
+    i, j = F.least("part", "other"), F.greatest("part", "other")
+    routes = split.unionByName(undivided).select(
         "node", "doc", "copies", "label", "part", i.alias("i"), j.alias("j"),
-        F.pmod(F.xxhash64("label", i, j), F.lit(-(-slots // SLOT_SHINGLES) or 1)).alias("slot"))
+        F.pmod(F.xxhash64("label", i, j), slots).alias("slot"))
     there = _carried(texts, stored(routes, "link-routes"), levels, size)
 
     def count(group: pa.Table) -> pa.Table:
@@ -502,7 +538,7 @@ def _linked(texts: DataFrame, nodes: DataFrame, labels: DataFrame, levels, size:
                           for k in (0, 1))
         return pa.table({"node": pa.array(nodes_), "linked": pa.array(linked)})
 
-    return there.groupBy("slot").applyInArrow(count, "node long, linked long").unionByName(
+    return there.groupBy("slot").applyInArrow(freed(count), "node long, linked long").unionByName(
         two).groupBy("node").agg(F.sum("linked").alias("linked"))
 
 
@@ -611,14 +647,15 @@ def _met(open_runs: DataFrame, n_rows: int, bits: DataFrame, percent: int) -> Da
                          "weight": pa.array(shared.astype(np.int32)),
                          "size": pa.array(most[starts].astype(np.int32))})
 
-    return rows.groupBy("slot").applyInArrow(meet, "a long, b long, weight int, size int")
+    return rows.groupBy("slot").applyInArrow(freed(meet), "a long, b long, weight int, size int")
 
 
 def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = WORDS,
-                    percent: int = PERCENT) -> DataFrame:
+                    percent: int = PERCENT, links: bool = True) -> DataFrame:
     """One row for each row of ``df``: doc_id, n_shingles, component_id (the smallest doc_id
-    reachable by links, the row's own included) and n_verified (its links: all other rows whose
-    sets were found equal or similar enough)."""
+    reachable by links, the row's own included) and, with ``links``, n_verified (its links: all other
+    rows whose sets are equal or similar enough), which need every pair of near sizes within a
+    component to be compared; components alone don't."""
     spark = prepare(df.sparkSession)
     texts = df.select(F.col(text).cast("string").alias("text"),
                       F.col(doc_id).cast("long").alias("doc_id"))
@@ -653,10 +690,11 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", s
     ids = nodes.join(labels, "node").groupBy("label").agg(F.min("doc").alias("least"))
     known = nodes.join(labels, "node", "left").join(ids, "label", "left").select(
         "node", "copies", F.coalesce("least", "doc").alias("component_id"))
-    linked = _linked(texts, nodes, labels, levels, size, percent)
-    known = stored(known.join(linked, "node", "left").withColumn(
-        "n_verified", F.coalesce("linked", F.lit(0)) + F.col("copies") - 1), "components")
-    return docs.join(known, "node", "left").select(
-        "doc_id", F.col("size").cast("long").alias("n_shingles"),
-        F.coalesce("component_id", "doc_id").alias("component_id"),
-        F.coalesce("n_verified", F.lit(0)).cast("long").alias("n_verified"))
+    columns = ["doc_id", F.col("size").cast("long").alias("n_shingles"),
+               F.coalesce("component_id", "doc_id").alias("component_id")]
+    if links:
+        linked = _linked(texts, nodes, labels, levels, size, percent)
+        known = known.join(linked, "node", "left").withColumn(
+            "n_verified", F.coalesce("linked", F.lit(0)) + F.col("copies") - 1)
+        columns.append(F.coalesce("n_verified", F.lit(0)).cast("long").alias("n_verified"))
+    return docs.join(stored(known, "components"), "node", "left").select(*columns)

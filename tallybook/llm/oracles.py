@@ -112,8 +112,10 @@ links AS (SELECT a, b FROM shared s JOIN sizes x ON x.doc_id = a JOIN sizes y ON
   WHERE 100 * s.n >= 75 * (x.n + y.n - s.n)),
 reach(doc_id, other) AS (SELECT doc_id, doc_id FROM docs
   UNION SELECT r.doc_id, l.b FROM reach r JOIN links l ON l.a = r.other)
-SELECT r.doc_id, CAST(coalesce(max(s.n), 0) AS BIGINT) AS n_shingles, min(r.other) AS component_id
-FROM reach r LEFT JOIN sizes s ON s.doc_id = r.doc_id GROUP BY r.doc_id
+SELECT r.doc_id, CAST(coalesce(max(s.n), 0) AS BIGINT) AS n_shingles, min(r.other) AS component_id,
+  CAST(coalesce(max(l.n), 0) AS BIGINT) AS n_links
+FROM reach r LEFT JOIN sizes s ON s.doc_id = r.doc_id
+LEFT JOIN (SELECT a, count(*) AS n FROM links GROUP BY a) l ON l.a = r.doc_id GROUP BY r.doc_id
 """
 
 
