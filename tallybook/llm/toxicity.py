@@ -5,10 +5,12 @@ the log ratio of its smoothed share of toxic and of clean training texts; logist
 the scaled features gives their weights. Only the features that tell the classes apart best are
 kept, so scoring is a table look-up per n-gram and a sum over the distinct ones that are left.
 
-Learning takes a bounded sample of labelled rows, ``SAMPLE`` a class by hash, balanced so that the
-rare class is seen well; the intercept then puts the true share of toxic labels back. Its ids are
-few, so they are broadcast, and only sampled texts are shuffled. Documents that share an id are
-seen once, by the smallest of their texts.
+Learning takes a bounded sample of labelled documents, ``SAMPLE`` a class by hash, balanced so that
+the rare class is seen well; the intercept then puts the true share of toxic labels back. Sampled
+are distinct ids that a document has, so a label that is repeated, however often, counts once, and
+one without a document takes no place; an id labelled both ways counts in both classes. The ids
+are few, so they are broadcast, and only sampled texts are shuffled. Documents that share an id
+are seen once, by the smallest of their texts.
 
 Null and empty texts have no features and get the score of the intercept. Labels other than 0 and
 1, null labels and labels of missing documents are passed over. With only one class labelled, every
@@ -27,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallybook.llm import words
-from tallybook.llm.frames import appended, prepare
+from tallybook.llm.frames import appended, prepare, stored, trimmed
 
 # The most labelled documents of a class that the classifier is fitted on.
 SAMPLE = 4000
@@ -92,10 +94,17 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(total + self.intercept, -30, 30)))
 
 
-def _sample(labels: DataFrame, doc_id: str, label: str, size: int) -> DataFrame:
-    """At most ``size`` labelled ids of each class, spread by hash."""
+def _labelled(docs: DataFrame, labels: DataFrame, doc_id: str, label: str) -> DataFrame:
+    """(id, label), each once, of the labels 0 and 1 whose id a document has. An id that is labelled
+    both ways is there twice."""
     ids = labels.select(F.col(doc_id).alias("id"), F.col(label).cast("int").alias("label")).filter(
-        F.col("id").isNotNull() & F.col("label").isin(0, 1))
+        F.col("id").isNotNull() & F.col("label").isin(0, 1)).distinct()
+    return stored(ids.join(docs.select(F.col(doc_id).alias("id")).distinct(), "id", "left_semi"),
+                  "labelled-ids")
+
+
+def _sample(ids: DataFrame, size: int) -> DataFrame:
+    """At most ``size`` labelled ids of each class, spread by hash."""
     picked = [ids.filter(F.col("label") == k).orderBy(F.xxhash64("id"), "id").limit(size)
               for k in (0, 1)]
     return picked[0].unionByName(picked[1])
@@ -130,13 +139,12 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "d
         label: str = "toxic", sample: int = SAMPLE) -> Model:
     spark = prepare(docs.sparkSession)
     d = 1 << HASH_BITS
-    shares = {r["label"]: r["n"] for r in labels.select(
-        F.col(label).cast("int").alias("label")).filter(F.col("label").isin(0, 1))
-        .groupBy("label").agg(F.count("*").alias("n")).collect()}
+    labelled = _labelled(docs, labels, doc_id, label)
+    shares = {r["label"]: r["n"] for r in labelled.groupBy("label").agg(
+        F.count("*").alias("n")).collect()}
     if len(shares) < 2:
         return Model(np.zeros(d), 30.0 if 1 in shares else -30.0)
-    picked = sorted({(r["id"], r["label"])
-                     for r in _sample(labels, doc_id, label, sample).collect()})
+    picked = sorted((r["id"], r["label"]) for r in _sample(labelled, sample).collect())
     ids = spark.createDataFrame(picked, "id long, label int")
     rows = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).join(
         F.broadcast(ids), "id")
@@ -159,7 +167,7 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "d
             names=["feature", "clean", "toxic"])
 
     # Features that too few texts have say nothing; the rest is bounded by the hash size.
-    total = rows.mapInArrow(count, "feature int, clean int, toxic int").groupBy("feature").agg(
+    total = rows.mapInArrow(trimmed(count), "feature int, clean int, toxic int").groupBy("feature").agg(
         F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     n0, n1 = (max(1, sum(k == c for _, k in picked)) for c in (0, 1))
     p = (F.col("toxic") + F.lit(SMOOTHING)) / F.lit(n1 + 2 * SMOOTHING)
@@ -193,7 +201,7 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "d
                                for a, b in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary())],
                     names=["label", "features"])
 
-    examples = rows.mapInArrow(extract, "label int, features binary").collect()
+    examples = rows.mapInArrow(trimmed(extract), "label int, features binary").collect()
     truth = np.array([r["label"] for r in examples], float)
     found = [np.frombuffer(r["features"], np.int32) for r in examples]
     owner = np.repeat(np.arange(len(found)), [len(f) for f in found])
