@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallybook.llm.frames import prepare
+from tallybook.llm.frames import prepare, trimmed
 
 # The control strings of the template.
 OPEN, ASK, SAY, CLOSE_ASK, CLOSE_SAY = "<s>", "[INST]", "[SAY]", "[/INST]", "</s>"
@@ -143,7 +143,7 @@ def format_turns(conversations: DataFrame, conv_id: str = "conv_id", turn: str =
                  pa.array([m[3] for m in made], pa.string())],
                 names=[x.split()[0] for x in PIECES.split(", ")])
 
-    return ordered.select("conv_id", "turn", "role", "text").mapInArrow(run, PIECES)
+    return ordered.select("conv_id", "turn", "role", "text").mapInArrow(trimmed(run), PIECES)
 
 
 def read_back(pieces: DataFrame) -> DataFrame:
@@ -177,7 +177,7 @@ def read_back(pieces: DataFrame) -> DataFrame:
         if state is not None:
             yield _digests([_finished(state)])
 
-    return pieces.mapInArrow(run, "conv_id long, n_turns long, turns_sha256 string, "
+    return pieces.mapInArrow(trimmed(run), "conv_id long, n_turns long, turns_sha256 string, "
                              "loss_chars long, loss_sha256 string, formatted_chars long, "
                              "n_escaped long")
 

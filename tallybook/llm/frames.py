@@ -11,6 +11,8 @@ from __future__ import annotations
 
 import contextlib
 import ctypes
+import functools
+import inspect
 import os
 import uuid
 from collections.abc import Callable, Iterable, Iterator
@@ -20,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from tallybook.llm import words
 from tallybook.session import remove_path, shared_dir, ship_package
 
 # Bytes of an Arrow batch between Spark and Python, and of text in a block.
@@ -35,18 +38,54 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+# Arrays of more bytes are returned to the system as soon as they are freed. The C library would
+# raise this bound by itself and then keep up to 32 MB holes between arrays that are in use. What
+# smaller ones leave stays at hand for the next, until the end of the task.
+_MAPPED_BYTES, _KEPT_BYTES = 8 << 20, 64 << 20
+_M_MMAP_THRESHOLD, _M_TRIM_THRESHOLD = -3, -1
+
+
+@functools.cache
+def _lean() -> None:
+    with contextlib.suppress(OSError, AttributeError):
+        library = ctypes.CDLL(None)
+        library.mallopt(_M_MMAP_THRESHOLD, _MAPPED_BYTES)
+        library.mallopt(_M_TRIM_THRESHOLD, _KEPT_BYTES)
+
+
 def trim() -> None:
     """Give freed memory back to the system: a worker process that waits for its next task should
     not hold what the last one needed."""
+    words.forget()
     pa.default_memory_pool().release_unused()
     with contextlib.suppress(OSError, AttributeError):
         ctypes.CDLL(None).malloc_trim(0)
 
 
+def freed(run: Callable[..., pa.Table]) -> Callable[..., pa.Table]:
+    """A function over one group, or two that belong together, that trims behind every group."""
+    def one(group: pa.Table) -> pa.Table:
+        _lean()
+        found = run(group)
+        del group
+        trim()
+        return found
+
+    def two(left: pa.Table, right: pa.Table) -> pa.Table:
+        _lean()
+        found = run(left, right)
+        del left, right
+        trim()
+        return found
+
+    return one if len(inspect.signature(run).parameters) == 1 else two
+
+
 def trimmed(run: Callable, name: str | None = None) -> Callable:
     """A function over batches that trims at its end, and at its beginning lets go of what other
     operators have kept by ``once`` in this process; ``name`` is its own."""
     def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _lean()
         for other in [k for k in _KEPT if k != name]:
             del _KEPT[other]
         yield from run(batches)
@@ -249,7 +288,7 @@ def answered(table: DataFrame, kind: str,
                          "payload": pa.array(answer(asks), pa.binary())})
 
     asked = table.filter(table["kind"] == kind)
-    return asked.groupBy("bucket").applyInArrow(run, BLOCKS)
+    return asked.groupBy("bucket").applyInArrow(freed(run), BLOCKS)
 
 
 def with_answers(table: DataFrame, answers: DataFrame, schema: T.StructType | str,
@@ -264,7 +303,8 @@ def with_answers(table: DataFrame, answers: DataFrame, schema: T.StructType | st
                                  for b, v in zip(left["block"], left["payload"], strict=True)])
 
     blocks = table.filter(table["kind"] == "block")
-    return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(run, schema)
+    return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
+        freed(run), schema)
 
 
 def more_asks(table: DataFrame, answers: DataFrame,

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallybook.llm import words
-from tallybook.llm.frames import (BLOCKS, bucket_slices, buckets_for, once, pack, stored,
+from tallybook.llm.frames import (BLOCKS, bucket_slices, buckets_for, freed, once, pack, stored,
                                   to_blocks, unpack, with_answers, without)
 
 U64 = np.uint64
@@ -41,6 +41,8 @@ DEPTH = 6
 LEAST_COUNT = 16
 DIVERGENCE = 12.0
 BLOCK_BYTES = 16 << 20
+# Entries that are gathered before they are added up.
+GATHERED = 1 << 20
 _BLANK, _END = 32, 10
 # Contexts of this depth are always states; those of the other decide the bucket that grows them.
 _ROOT, _DEALT = 2, 3
@@ -103,6 +105,30 @@ def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return keys[order][starts], np.add.reduceat(counts[order], starts)
 
 
+class _Sums:
+    """Counts by key, added up as they come: what is held at a time is the distinct keys so far and
+    ``GATHERED`` entries, or as many again as there are keys."""
+
+    def __init__(self):
+        self.keys, self.counts = np.empty(0, U64), np.empty(0, np.int64)
+        self.parts: list[tuple[np.ndarray, np.ndarray]] = []
+        self.waiting = 0
+
+    def add(self, keys: np.ndarray, counts: np.ndarray) -> None:
+        self.parts.append((keys, counts))
+        self.waiting += len(keys)
+        if self.waiting > max(GATHERED, len(self.keys)):
+            self.total()
+
+    def total(self) -> tuple[np.ndarray, np.ndarray]:
+        parts, self.parts, self.waiting = [(self.keys, self.counts), *self.parts], [], 0
+        self.keys = self.counts = None
+        keys, counts = (np.concatenate([p[k] for p in parts]) for k in (0, 1))
+        del parts
+        self.keys, self.counts = _summed(keys, counts)
+        return self.keys, self.counts
+
+
 # -- the tree ------------------------------------------------------------------------------
 
 @dataclass(frozen=True)
@@ -233,25 +259,26 @@ def _asks(batch: pa.RecordBatch, text: str, learn: str, n_buckets: int
     """A block's words and contexts with their training counts."""
     column = batch.column(batch.schema.get_field_index(text))
     learns = np.asarray(batch.column(batch.schema.get_field_index(learn)).fill_null(False))
-    word_parts, code_parts, ends = [], [], 0
+    by_word, by_code, ends = _Sums(), _Sums(), 0
     for i, j, data, offsets in words.sliced(column):
         found = words.tokenize(data, offsets, words.FOLDED)
         some = learns[i:j]
         training = some[found.text_of()]
-        key, count = words.counted(found.hashes[training])
+        by_word.add(*words.counted(found.hashes[training]))
         other, _ = words.counted(found.hashes[~training])
-        word_parts += [(key, count), (other, np.zeros(len(other), np.int64))]
+        by_word.add(other, np.zeros(len(other), np.int64))
         codes = symbols(data, offsets, found)
         used = np.repeat(some, np.diff(codes.first))
-        key, count = words.counted(codes.codes[used])
+        by_code.add(*words.counted(codes.codes[used]))
         other, _ = words.counted(codes.codes[~used])
-        code_parts += [(key, count), (other, np.zeros(len(other), np.int64))]
+        by_code.add(other, np.zeros(len(other), np.int64))
         ends += int(some.sum())
     yield "ends", ends, b""
-    key, count = _summed(*(np.concatenate([p[k] for p in word_parts]) for k in (0, 1)))
+    key, count = by_word.total()
     for bucket, part in bucket_slices(key, n_buckets):
         yield "word", bucket, pack(key[part], count[part])
-    key, count = _summed(*(np.concatenate([p[k] for p in code_parts]) for k in (0, 1)))
+    del by_word
+    key, count = by_code.total()
     for bucket, part in _dealt(key, n_buckets):
         yield "context", bucket, pack(key[part], count[part])
     some = count > 0
@@ -296,7 +323,7 @@ def _roots(table: DataFrame) -> tuple[np.ndarray, np.ndarray]:
         return pa.table({"payload": pa.array([pack(*_gathered(group))], pa.binary())})
 
     found = [unpack(r["payload"]) for r in table.filter("kind = 'root'").groupBy(
-        "bucket").applyInArrow(add, "payload binary").collect()]
+        "bucket").applyInArrow(freed(add), "payload binary").collect()]
     return _summed(np.concatenate([np.empty(0, U64), *[f[0] for f in found]]),
                    np.concatenate([np.empty(0, np.int64), *[f[1] for f in found]]))
 
@@ -327,14 +354,14 @@ def _valued(table: DataFrame, n_buckets: int) -> DataFrame:
         high = grown(key[some], count[some], LEAST_COUNT, roots)[1:] if some.any() else []
         tree = Tree([*low, *high])
         return pa.table({"bucket": group["bucket"],
-                         "payload": pa.array([pack(a[0], tree.log10(a[0])) for a in asks],
-                                             pa.binary())})
+                         "payload": pa.array([pack(a[0], tree.log10(a[0]).astype(np.float32))
+                                              for a in asks], pa.binary())})
 
     def answer(asked: pa.Table, told: pa.Table) -> pa.Table:
         found = [unpack(v.as_buffer()) for v in told["payload"]]
         key, value = (np.concatenate([f[k] for f in found]) for k in (0, 1))
         order = np.argsort(key)
-        key, value = key[order], value[order].astype(np.float32)
+        key, value = key[order], value[order]
         own = [unpack(v.as_buffer())[0] for v in asked["payload"]]
         n = len(own)
         # Buckets of words are 0 and more.
@@ -345,9 +372,11 @@ def _valued(table: DataFrame, n_buckets: int) -> DataFrame:
                                              pa.binary())})
 
     asked = table.filter("kind = 'context'")
-    sums = asked.groupBy("bucket").applyInArrow(add, "root long, bucket long, payload binary")
-    values = sums.groupBy("root").applyInArrow(grow, "bucket long, payload binary")
-    return asked.groupBy("bucket").cogroup(values.groupBy("bucket")).applyInArrow(answer, BLOCKS)
+    sums = asked.groupBy("bucket").applyInArrow(
+        freed(add), "root long, bucket long, payload binary")
+    values = sums.groupBy("root").applyInArrow(freed(grow), "bucket long, payload binary")
+    return asked.groupBy("bucket").cogroup(values.groupBy("bucket")).applyInArrow(
+        freed(answer), BLOCKS)
 
 
 def score(df: DataFrame, learn: str, text: str = "text", prior: float = 0.1) -> DataFrame:
@@ -365,8 +394,8 @@ def score(df: DataFrame, learn: str, text: str = "text", prior: float = 0.1) ->
         return _asks(batch, text, learn, n_buckets)
 
     table = to_blocks(df, ask, "scoring", BLOCK_BYTES)
-    answers = stored(table.filter("kind = 'word'").groupBy("bucket").applyInArrow(_counts, BLOCKS),
-                     "word-counts")
+    answers = stored(table.filter("kind = 'word'").groupBy("bucket").applyInArrow(
+        freed(_counts), BLOCKS), "word-counts")
     sums = {r["kind"]: r["n"] for r in answers.filter("kind <> 'answer'").unionByName(
         table.filter("kind = 'ends'")).groupBy("kind").agg(F.sum("bucket").alias("n")).collect()}
     ends = sums.get("ends") or 0
@@ -379,17 +408,18 @@ def score(df: DataFrame, learn: str, text: str = "text", prior: float = 0.1) ->
 
     def work(_: str, batch: pa.RecordBatch, told: dict[int, list[np.ndarray]]) -> pa.Table:
         column = batch.column(batch.schema.get_field_index(text))
-        found = []
-        every = [np.empty(0, U64)]
+        found, every, seen = [], _Sums(), _Sums()
         for _, _, data, offsets in words.sliced(column):
-            found.append((data, offsets, words.tokenize(data, offsets, words.FOLDED)))
-            every.append(words.counted(found[-1][2].hashes)[0])
-        keys = words.counted(np.concatenate(every))[0]
+            own = words.tokenize(data, offsets, words.FOLDED)
+            found.append((data, offsets, own))
+            every.add(*words.counted(own.hashes))
+            seen.add(*words.counted(symbols(data, offsets, own).codes))
+        keys = every.total()[0]
         counts = np.zeros(len(keys), np.int64)
         for bucket, part in bucket_slices(keys, n_buckets):
             counts[part] = told[bucket][0]
-        codes = words.counted(np.concatenate([np.empty(0, U64), *[
-            words.counted(symbols(data, offsets, own).codes)[0] for data, offsets, own in found]]))[0]
+        codes = seen.total()[0]
+        del every, seen
         values = np.zeros(len(codes))
         for bucket, part in _dealt(codes, n_buckets):
             values[part] = told[-1 - bucket][0]

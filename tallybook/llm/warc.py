@@ -30,7 +30,7 @@ import pyarrow.fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallybook.llm.frames import prepare, stored
+from tallybook.llm.frames import prepare, stored, trimmed
 from tallybook.session import shared_dir
 
 REVISIT_BYTES = 0
@@ -114,7 +114,7 @@ def write(pages: DataFrame, folder: str, record_id: str = "page_id", payload: st
             out.close()
             yield pa.RecordBatch.from_pylist([{"path": path, "bytes": size, "records": count}])
 
-    return stored(joined.mapInArrow(run, "path string, bytes long, records long"), "warc-manifest")
+    return stored(joined.mapInArrow(trimmed(run), "path string, bytes long, records long"), "warc-manifest")
 
 
 # -- reading -------------------------------------------------------------------------------
@@ -235,7 +235,7 @@ def read(manifest: DataFrame, split_bytes: int = SPLIT_BYTES) -> DataFrame:
                     if held:
                         yield _batch(held, names, kinds)
 
-    return dealt.mapInArrow(run, RECORDS)
+    return dealt.mapInArrow(trimmed(run), RECORDS)
 
 
 def _batch(held: list[dict], names: list[str], kinds: list[pa.DataType]) -> pa.RecordBatch:

@@ -54,10 +54,19 @@ class _Powers:
             self.down = np.cumprod(steps, dtype=U64)
         return self.up[:n], self.down[:n]
 
+    def forget(self) -> None:
+        self.up = self.down = np.ones(1, U64)
+
 
 _BYTE_POWERS, _WORD_POWERS = _Powers(_BASE_BYTES), _Powers(_BASE_WORDS)
 
 
+def forget() -> None:
+    """Let go of the powers; they are made again when they are needed."""
+    _BYTE_POWERS.forget()
+    _WORD_POWERS.forget()
+
+
 @dataclass(frozen=True)
 class Alphabet:
     """Which bytes belong to words, and the byte each counts as."""
