@@ -24,14 +24,16 @@ BROADCAST_IDS = 1_000_000
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Learn from the documents that name their language; those whose text has none (null, or no
-    letter) are rejected. Ambiguous ones stay: a short clean text is often ambiguous. If no document
-    names a language, there is nothing to tell apart, and the letters alone decide."""
+    letter) are rejected, and those that name none get the predicted one. Ambiguous ones stay: a
+    short clean text is often ambiguous. If no document names a language, there is nothing to tell
+    apart, and the letters alone decide."""
     model = language.fit(docs)
     if not model.languages:
         return docs.filter(F.col("text").rlike(r"\p{L}"))
     found = language.predict(docs.withColumn("_text", F.col("text")), model, "_text", "_lang",
                              "_score", "_unsure")
-    return found.filter(F.col("_lang") != language.UNKNOWN).select(*docs.columns)
+    return found.filter(F.col("_lang") != language.UNKNOWN).withColumn(
+        "lang", F.coalesce("lang", "_lang")).select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,7 +41,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     id, rows without one being last; among rows of that id, one of the least hash. A row with no
     other in its component stays, so does a row without words."""
     key = F.xxhash64("doc_id", "text")
-    found = jaccard.near_duplicates(docs.withColumn("_key", key), "_key").filter(
+    found = jaccard.near_duplicates(docs.withColumn("_key", key), "_key", links=False).filter(
         "n_shingles > 0").groupBy(F.col("doc_id").alias("_key")).agg(
         F.min("component_id").alias("component"), F.count("*").alias("n"))
     found = stored(found, "near-duplicates")
@@ -66,7 +68,9 @@ def _sized(ids: DataFrame) -> DataFrame:
 
 
 def remove_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Cut passages that an earlier document has; a document of nothing else goes."""
+    """Cut passages that an earlier document has; a document of nothing else goes. Null texts have
+    no passages and stay. Rows of one id are one document here and don't repeat each other; a null
+    id comes after all others."""
     found = passages.remove_repeats(docs)
     changed = F.col("n_removed") > 0
     text = F.when(changed, F.col("kept_text")).otherwise(F.col("text"))
@@ -79,14 +83,16 @@ def remove_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a window of a benchmark item go."""
+    """Documents with a window of a benchmark item go. Null texts have none; without items all
+    documents stay. Ids play no part."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     return contamination.scan(docs, benchmark).filter(F.size("word_spans") == 0).select(
         *docs.columns)
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document, and digests of them and of the text they decode to."""
+    """Token ids of every document, and digests of them and of the text they decode to. A null text
+    is empty and has no tokens; every row gives one, whatever its id."""
     vocabulary = bpe.read_vocabulary(
         public_tokenizers.path(VOCABULARY_FILE), public_tokenizers.PATTERN)
     encoded = bpe.encode(docs, vocabulary).select("doc_id", "token_ids", "n_tokens")
