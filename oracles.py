@@ -453,11 +453,10 @@ SQL: dict[str, str] = {
     "category_update": f"""{FEEDS} SELECT transaction_id, source_system, transaction_type,
         CASE WHEN source_system = 'core_banking' THEN {CATEGORY} END AS transaction_category
         FROM tx""",
-    "merge_status": f"""{FEEDS} SELECT t.transaction_id, t.source_system,
-        coalesce(u.status, t.status) AS status, t.amount FROM tx t LEFT JOIN (
-        SELECT transaction_id AS id, 'completed' AS status FROM tx
-        WHERE status = 'pending' AND source_system = 'core_banking') u
-        ON t.transaction_id = u.id""",
+    "merge_status": f"""{FEEDS} SELECT transaction_id, source_system,
+        CASE WHEN max(CASE WHEN status = 'pending' AND source_system = 'core_banking' THEN 1 ELSE 0
+          END) OVER (PARTITION BY transaction_id) = 1 THEN 'completed' ELSE status END AS status,
+        amount FROM tx""",
     "replace_batch_row": f"""WITH {CORE},{BATCHES} SELECT * FROM batches
         WHERE batch_id <> 'CARD-1997-03' UNION ALL
         SELECT batch_id, reconciliation_date, source_systems, start_date, end_date, 'COMPLETED',
@@ -543,6 +542,46 @@ SQL |= {
         ORDER BY transaction_date DESC, transaction_id LIMIT 100""",
 }
 
+_MONTHS = f"""{TELE}, months AS (SELECT * REPLACE (DateIn + to_months(Id % 6) AS DateIn,
+  DateOut + to_months(Id % 6) AS DateOut) FROM tele)"""
+
+
+def _good(name: str) -> str:
+    k = "CAST(regexp_extract(transaction_id, '[0-9]+') AS BIGINT)"
+    return f"SELECT {TX} FROM {name} WHERE {k} % 79 <> 0 AND {k} % 83 <> 0 AND {k} % 97 <> 0 AND {k} % 89 <> 0"
+
+
+SQL |= {
+    "cdc_stream_latest": SQL["cdc_latest"],
+    "cdc_stream_once": CDC_DECODED,
+    "as_of_months": f"""{HIST}, moments AS (
+          SELECT unnest(range(TIMESTAMP '1993-01-01', TIMESTAMP '1999-01-01', INTERVAL 3 MONTH))
+            AS moment),
+        versions AS (SELECT moment, h.*, row_number() OVER (PARTITION BY moment, transaction_id
+            ORDER BY commit_ts DESC, seq DESC) AS age
+          FROM moments JOIN history h ON commit_ts <= moment)
+        SELECT moment, status, count(*) AS count, CAST(sum(amount) AS DECIMAL(28,2)) AS amount
+        FROM versions WHERE age = 1 AND op <> 'd' GROUP BY 1, 2""",
+    "store_merged": f"""{_MONTHS} SELECT Id, TelegramCode, Source,
+        CASE WHEN strftime(DateIn, '%Y-%m') = '2024-03' AND TelegramCode % 3 = 0 THEN 9
+             ELSE Destination END AS Destination, DateIn, DateOut, Body FROM months""",
+    "month_rows_stored": f"""{_MONTHS} SELECT {TELE_COLUMNS} FROM months
+        WHERE year(DateIn) = 2024 AND month(DateIn) = 3""",
+    "period_counts_months": f"""{_MONTHS} SELECT strftime(DateIn, '%Y-%m') AS period,
+        count(*) AS count FROM months GROUP BY 1""",
+    "csv_good": f"WITH {CORE} {_good('core')}",
+    "csv_new_files": f"{PAIR} {_good('core')} UNION ALL {_good('card')}",
+    "csv_rejected": f"""WITH {CORE}, keyed AS (
+          SELECT transaction_id AS id, CAST(substr(transaction_id, 4) AS BIGINT) AS k FROM core)
+        SELECT CASE WHEN k % 79 = 0 THEN 'malformed line' WHEN k % 83 = 0 THEN 'no id'
+            WHEN k % 97 = 0 THEN 'unreadable amount' ELSE 'unreadable transaction_date' END
+            AS reason, CASE WHEN k % 83 = 0 THEN '' ELSE id END AS transaction_id
+        FROM keyed WHERE k % 79 = 0 OR k % 83 = 0 OR k % 97 = 0 OR k % 89 = 0""",
+    "payload_categories": f"""{FEEDS} SELECT transaction_type,
+        json_extract_string(payload, '$.category') AS category, count(*) AS count
+        FROM tx GROUP BY 1, 2""",
+}
+
 # The skewed feeds differ in the account alone.
 _FEW = "'ACC' || CASE WHEN o_orderkey % 3 = 0 THEN 0 ELSE o_orderkey % 20 END"
 SQL |= {f"{name}_skewed": SQL[query].replace("'ACC' || o_custkey", _FEW) for name, query in (

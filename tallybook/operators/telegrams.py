@@ -20,10 +20,14 @@ def minutes(fractional: bool = True) -> Column:
 
 
 def in_month(telegrams: DataFrame, year: int, month: int) -> DataFrame:
-    """A half-open range of time, which prunes files, unlike month(DateIn) = m."""
+    """A half-open range of time, which prunes files, unlike month(DateIn) = m. On a table with a
+    month_in partition column that month is named too, since no engine derives it from the times."""
     after = datetime(year + month // 12, month % 12 + 1, 1)
-    return telegrams.filter((F.col("DateIn") >= F.lit(datetime(year, month, 1)))
+    rows = telegrams.filter((F.col("DateIn") >= F.lit(datetime(year, month, 1)))
                             & (F.col("DateIn") < F.lit(after)))
+    if "month_in" in telegrams.columns:
+        rows = rows.filter(F.col("month_in") == f"{year:04d}-{month:02d}")
+    return rows
 
 
 def per_month(telegrams: DataFrame) -> DataFrame:

@@ -27,6 +27,7 @@ SYSTEMS = ["core_banking", "card_processor", "payment_gateway"]
 RANGE = (datetime(1996, 3, 1), datetime(1998, 9, 30, 12))
 CUT = datetime(1999, 1, 1)
 AS_OF = datetime(1998, 6, 15)
+MOMENTS = [datetime(year, month, 1) for year in range(1993, 1999) for month in (1, 4, 7, 10)]
 A_BATCH = "CARD-1997-03"
 BATCH_STATES = ["PENDING", "IN_PROGRESS", "COMPLETED", "FAILED"]
 
@@ -313,6 +314,34 @@ def as_of(t: Tables) -> DataFrame:
     return history.as_of(t.history, "transaction_id", AS_OF)
 
 
+def as_of_months(t: Tables) -> DataFrame:
+    """Rows and amounts by status as they were at the beginning of every quarter, in one scan."""
+    return history.as_of_each(t.history, "transaction_id", MOMENTS).groupBy(
+        "moment", "status").agg(F.count("*").alias("count"), F.sum("amount").alias("amount"))
+
+
+def store_merged(t: Tables) -> DataFrame:
+    """A table of six months in which telegrams of one month get a new destination, in place."""
+    kept = _months_stored(t)
+    moved = kept.read(t.spark, "telegrams").filter(
+        (F.col("month_in") == "2024-03") & (F.col("TelegramCode") % 3 == 0)).select(
+        F.col("Id").alias("changed"), F.lit(9).alias("Destination"))
+    kept.merge(t.spark, "telegrams", moved, "Id", "changed", ["Destination"])
+    return kept.read(t.spark, "telegrams").drop("month_in")
+
+
+def _months_stored(t: Tables) -> store.Store:
+    kept = store.Store(scratch_path(t.spark, "months"))
+    kept.load(feeds.telegrams_of_months(t.read("events")), "telegrams")
+    return kept
+
+
+def month_rows_stored(t: Tables) -> DataFrame:
+    """The month predicate on a stored table of six months, of which one is read."""
+    return telegrams.in_month(_months_stored(t).read(t.spark, "telegrams"), 2024, 3).drop(
+        "month_in")
+
+
 def commit_log(t: Tables) -> DataFrame:
     return history.commit_log(t.history)
 
@@ -383,6 +412,32 @@ def cdc_stream(t: Tables) -> DataFrame:
     return t.spark.read.parquet(_streamed(t)[0]).drop("ingest_batch", "month_in")
 
 
+def cdc_stream_latest(t: Tables) -> DataFrame:
+    """Apply the changes as a stream of files in any order, stopped and started again, with what has
+    been applied folded in between."""
+    root = scratch_path(t.spark, "cdc-latest")
+    parts = t.messages.repartition(6, F.xxhash64("offset"))
+    for half in (1, 0):
+        parts.filter(F.xxhash64("value") % 2 == half if half else ~F.coalesce(
+            F.xxhash64("value") % 2 == 1, F.lit(False))).write.mode("append").json(
+            f"{root}/in", ignoreNullFields=False)
+        cdc.apply_changes(cdc.file_messages(t.spark, f"{root}/in", 2), f"{root}/telegrams",
+                          f"{root}/checkpoint", available_now=True).awaitTermination()
+        if half:
+            cdc.fold(t.spark, f"{root}/telegrams")
+    return cdc.applied(t.spark, f"{root}/telegrams")
+
+
+def cdc_stream_once(t: Tables) -> DataFrame:
+    """Ingest messages of which some were sent twice."""
+    root = scratch_path(t.spark, "cdc-once")
+    feeds.sent_messages(t.messages).write.json(f"{root}/in", ignoreNullFields=False)
+    sent = cdc.file_messages(t.spark, f"{root}/in", schema=cdc.SENT_MESSAGE)
+    cdc.ingest(cdc.once(sent, "10 minutes"), f"{root}/telegrams", f"{root}/quarantine",
+               f"{root}/checkpoint", available_now=True).awaitTermination()
+    return t.spark.read.parquet(f"{root}/telegrams").drop("ingest_batch", "month_in")
+
+
 def cdc_stream_rejected(t: Tables) -> DataFrame:
     return t.spark.read.parquet(_streamed(t)[1]).select("offset", "reason")
 
@@ -411,6 +466,41 @@ def csv_inferred(t: Tables) -> DataFrame:
                        F.col("amount").cast("decimal(18,2)").alias("amount"), "status")
 
 
+def _faulty_csv(t: Tables, rows: DataFrame) -> str:
+    path = scratch_path(t.spark, "csv-faulty")
+    feeds.faulty_lines(rows).write.option("header", True).option("quote", "").csv(path)
+    return path
+
+
+def csv_good(t: Tables) -> DataFrame:
+    return files.read_csv_checked(t.spark, _faulty_csv(t, t.core))[0].drop("file")
+
+
+def csv_rejected(t: Tables) -> DataFrame:
+    rows = files.read_csv_checked(t.spark, _faulty_csv(t, t.core))[1]
+    return rows.select("reason", F.substring_index("line", ",", 1).alias("transaction_id"))
+
+
+def csv_new_files(t: Tables) -> DataFrame:
+    """Three runs over a folder: one file set, nothing new, and another set; each file counts
+    once."""
+    root = scratch_path(t.spark, "csv-new")
+    for run, rows in enumerate((t.core, None, t.second())):
+        if rows is not None:
+            feeds.faulty_lines(rows).write.option("header", True).option("quote", "").csv(
+                f"{root}/in/{run}")
+        files.load_new_files(t.spark, f"{root}/in", f"{root}/good", f"{root}/bad",
+                             f"{root}/checkpoint")
+    return t.spark.read.parquet(f"{root}/good").drop("file", "load")
+
+
+def payload_categories(t: Tables) -> DataFrame:
+    """Transactions by type and the category that their payload names."""
+    rows = json_rows.payloads(t.transactions())
+    return rows.groupBy("transaction_type", json_rows.payload_field(
+        "$.category", "string").alias("category")).agg(F.count("*").alias("count"))
+
+
 def csv_directory(t: Tables) -> DataFrame:
     """Two feeds in one folder tree, of which one is asked for."""
     root = scratch_path(t.spark, "csv-tree")
@@ -543,6 +633,17 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "store_table": store_table,
     "saved_results": saved_results,
     "page_after": page_after,
+    "cdc_stream_latest": cdc_stream_latest,
+    "cdc_stream_once": cdc_stream_once,
+    "as_of_months": as_of_months,
+    "store_merged": store_merged,
+    "month_rows_stored": month_rows_stored,
+    "period_counts_months": lambda t: telegrams.per_period(
+        feeds.telegrams_of_months(t.read("events"))),
+    "csv_good": csv_good,
+    "csv_rejected": csv_rejected,
+    "csv_new_files": csv_new_files,
+    "payload_categories": payload_categories,
 }
 
 

@@ -134,6 +134,39 @@ def telegrams(events: DataFrame) -> DataFrame:
     )
 
 
+def telegrams_of_months(events: DataFrame, months: int = 6) -> DataFrame:
+    """The telegrams, dealt by Id over some months from their own on."""
+    later = F.make_ym_interval(F.lit(0), F.col("Id") % months)
+    return telegrams(events).withColumns({
+        "DateIn": F.col("DateIn") + later, "DateOut": F.col("DateOut") + later})
+
+
+def sent_messages(messages: DataFrame) -> DataFrame:
+    """Messages with the time they were sent at; one in seven is sent again half a minute later."""
+    at = F.timestamp_seconds(F.lit(1_700_000_000) + F.col("offset") / 10)
+    again = F.when(F.col("offset") % 7 == 0, F.array(F.lit(0), F.lit(30))).otherwise(
+        F.array(F.lit(0)))
+    return messages.withColumn("late", F.explode(again)).select(
+        "offset", "value", F.timestamp_seconds(
+            F.unix_micros(at) / 1_000_000 + F.col("late")).alias("sent_at"))
+
+
+def faulty_lines(transactions: DataFrame) -> DataFrame:
+    """The feed as text, some rows with a value that is none, without an id, or a field too many
+    when written without quotes."""
+    k = F.regexp_extract("transaction_id", r"\d+", 0).cast("long")
+    rows = transactions.select(k.alias("k"), *[F.col(c).cast("string").alias(c)
+                                               for c in TRANSACTION_COLUMNS])
+    k = F.col("k")
+    return rows.withColumns({
+        "amount": F.when(k % 97 == 0, "n/a").otherwise(F.col("amount")),
+        "transaction_date": F.when(k % 89 == 0, "yesterday").otherwise(F.col("transaction_date")),
+        "transaction_id": F.when(k % 83 != 0, F.col("transaction_id")),
+        "status": F.when(k % 79 == 0, F.concat("status", F.lit(",twice"))).otherwise(
+            F.col("status")),
+    }).select(*TRANSACTION_COLUMNS)
+
+
 def _text_time(ts: Column, layout: Column) -> Column:
     """The same time in one of the accepted layouts, in turn; layout -1 is not a time at all."""
     def fmt(pattern: str) -> Column:
