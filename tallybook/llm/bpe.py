@@ -207,18 +207,42 @@ def encode(df: DataFrame, vocabulary: Vocabulary, text: str = "text",
                     compute, name)
 
 
+def _by_rank(ranks: dict[bytes, int]) -> list[bytes | None]:
+    pieces: list[bytes | None] = [None] * (max(ranks.values(), default=-1) + 1)
+    for piece, rank in ranks.items():
+        pieces[rank] = piece
+    return pieces
+
+
+def _decoded(pieces: list[bytes | None], ids: bytes | None) -> bytes:
+    return b"".join(map(pieces.__getitem__, np.frombuffer(ids or b"", "<u4").tolist()))
+
+
+def round_trip(df: DataFrame, vocabulary: Vocabulary, text: str = "text",
+               output: str = "token_ids", count: str = "n_tokens", decoded: str = "decoded"
+               ) -> DataFrame:
+    """What ``encode`` and then ``decode`` add, by one worker process a task instead of two."""
+    shared, name = df.sparkSession.sparkContext.broadcast(vocabulary), uuid.uuid4().hex
+
+    def compute(batch: pa.RecordBatch) -> list[pa.Array]:
+        encoder, pieces = once(name, lambda: (Encoder(shared.value), _by_rank(shared.value.ranks)))
+        packed = [encoder.encode(x) if x else b"" for x in batch.column(text).to_pylist()]
+        return [pa.array(packed, pa.binary()),
+                pa.array([len(p) // 4 for p in packed], pa.int64()),
+                pa.array([_decoded(pieces, p) for p in packed], pa.binary())]
+
+    return appended(df, [T.StructField(output, T.BinaryType()), T.StructField(count, T.LongType()),
+                         T.StructField(decoded, T.BinaryType())], compute, name)
+
+
 def decode(df: DataFrame, vocabulary: Vocabulary, ids: str = "token_ids",
            output: str = "decoded") -> DataFrame:
     """Add the bytes that packed ids stand for. Ids outside the vocabulary raise an error."""
-    size = max(vocabulary.ranks.values(), default=-1) + 1
-    by_rank: list[bytes | None] = [None] * size
-    for piece, rank in vocabulary.ranks.items():
-        by_rank[rank] = piece
-    shared = df.sparkSession.sparkContext.broadcast(by_rank)
+    shared = df.sparkSession.sparkContext.broadcast(_by_rank(vocabulary.ranks))
 
     def compute(batch: pa.RecordBatch) -> list[pa.Array]:
-        of = shared.value.__getitem__
-        return [pa.array([b"".join(map(of, np.frombuffer(v or b"", "<u4").tolist()))
-                          for v in batch.column(ids).to_pylist()], pa.binary())]
+        pieces = shared.value
+        return [pa.array([_decoded(pieces, v) for v in batch.column(ids).to_pylist()],
+                         pa.binary())]
 
     return appended(df, [T.StructField(output, T.BinaryType())], compute)

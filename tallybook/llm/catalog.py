@@ -52,8 +52,7 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = bpe.read_vocabulary(
         public_tokenizers.path(VOCABULARY_FILE), public_tokenizers.PATTERN)
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    encoded = bpe.encode(docs, vocabulary).drop("text")
-    return bpe.decode(encoded, vocabulary).select(
+    return bpe.round_trip(docs, vocabulary).select(
         "doc_id", "n_tokens", F.sha2("token_ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"))
 

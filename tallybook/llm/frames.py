@@ -41,7 +41,7 @@ def prepare(spark: SparkSession) -> SparkSession:
 # Arrays of more bytes are returned to the system as soon as they are freed. The C library would
 # raise this bound by itself and then keep up to 32 MB holes between arrays that are in use. What
 # smaller ones leave stays at hand for the next, until the end of the task.
-_MAPPED_BYTES, _KEPT_BYTES = 8 << 20, 64 << 20
+_MAPPED_BYTES, _KEPT_BYTES = 8 << 20, 16 << 20
 _M_MMAP_THRESHOLD, _M_TRIM_THRESHOLD = -3, -1
 
 

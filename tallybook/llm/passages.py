@@ -37,6 +37,7 @@ from tallybook.llm.frames import (answered, bucket_slices, buckets_for, more_ask
                                   with_answers, without)
 
 U64 = np.uint64
+BLOCK_BYTES = 4 << 20
 WINDOW = 50
 _LAST = np.iinfo(np.int64).max
 
@@ -259,7 +260,7 @@ def remove_repeats(df: DataFrame, text: str = "text", doc_id: str = "doc_id",
         keys, owners = _asked(batch, text, doc_id, size)
         return _asks("phrase", keys, owners, n_buckets)
 
-    table = to_blocks(df, ask, "passages")
+    table = to_blocks(df, ask, "passages", BLOCK_BYTES)
     phrases = answered(table, "phrase", _recurring)
     asked = more_asks(table, phrases, lambda rows, told: _windows(
         rows, told, text, doc_id, size, n_buckets))

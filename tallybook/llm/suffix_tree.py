@@ -40,7 +40,7 @@ U64 = np.uint64
 DEPTH = 6
 LEAST_COUNT = 16
 DIVERGENCE = 12.0
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 # Entries that are gathered before they are added up.
 GATHERED = 1 << 20
 _BLANK, _END = 32, 10
@@ -353,16 +353,19 @@ def _valued(table: DataFrame, n_buckets: int) -> DataFrame:
         some = count > 0
         high = grown(key[some], count[some], LEAST_COUNT, roots)[1:] if some.any() else []
         tree = Tree([*low, *high])
-        return pa.table({"bucket": group["bucket"],
-                         "payload": pa.array([pack(a[0], tree.log10(a[0]).astype(np.float32))
+        return pa.table({"bucket": group["bucket"], "root": group["root"],
+                         "payload": pa.array([pack(tree.log10(a[0]).astype(np.float32))
                                               for a in asks], pa.binary())})
 
     def answer(asked: pa.Table, told: pa.Table) -> pa.Table:
-        found = [unpack(v.as_buffer()) for v in told["payload"]]
-        key, value = (np.concatenate([f[k] for f in found]) for k in (0, 1))
-        order = np.argsort(key)
-        key, value = key[order], value[order]
         own = [unpack(v.as_buffer())[0] for v in asked["payload"]]
+        # The bucket's codes were dealt in this order, so values need no codes beside them.
+        key = words.counted(np.concatenate(own))[0]
+        found = {r.as_py(): unpack(v.as_buffer())[0]
+                 for r, v in zip(told["root"], told["payload"], strict=True)}
+        value = np.zeros(len(key), np.float32)
+        for root, part in _dealt(key >> U64(8 * (DEPTH + 1 - _DEALT)), n_buckets):
+            value[part] = found[root]
         n = len(own)
         # Buckets of words are 0 and more.
         return pa.table({"kind": pa.array(["answer"] * n, pa.string()), "block": asked["block"],
@@ -374,7 +377,8 @@ def _valued(table: DataFrame, n_buckets: int) -> DataFrame:
     asked = table.filter("kind = 'context'")
     sums = asked.groupBy("bucket").applyInArrow(
         freed(add), "root long, bucket long, payload binary")
-    values = sums.groupBy("root").applyInArrow(freed(grow), "bucket long, payload binary")
+    values = sums.groupBy("root").applyInArrow(
+        freed(grow), "bucket long, root long, payload binary")
     return asked.groupBy("bucket").cogroup(values.groupBy("bucket")).applyInArrow(
         freed(answer), BLOCKS)
 
