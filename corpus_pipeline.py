@@ -95,8 +95,7 @@ def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     is empty and has no tokens; every row gives one, whatever its id."""
     vocabulary = bpe.read_vocabulary(
         public_tokenizers.path(VOCABULARY_FILE), public_tokenizers.PATTERN)
-    encoded = bpe.encode(docs, vocabulary).select("doc_id", "token_ids", "n_tokens")
-    return bpe.decode(encoded, vocabulary).select(
+    return bpe.round_trip(docs.select("doc_id", "text"), vocabulary).select(
         "doc_id", "n_tokens", "token_ids", F.sha2("token_ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
