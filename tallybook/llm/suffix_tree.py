@@ -40,7 +40,7 @@ U64 = np.uint64
 DEPTH = 6
 LEAST_COUNT = 16
 DIVERGENCE = 12.0
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 12 << 20
 # Entries that are gathered before they are added up.
 GATHERED = 1 << 20
 _BLANK, _END = 32, 10
