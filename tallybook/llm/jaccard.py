@@ -675,8 +675,8 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", s
     star = firsts.join(best, "grp").join(named, "leader").select(F.col("first").alias("a"), "b")
     inner = nodes.join(firsts, "grp").filter(F.col("node") != F.col("first")).select(
         F.col("node").alias("a"), F.col("first").alias("b"))
-    links = _verified(texts, nodes, star.unionByName(inner), levels, size, percent)
-    labels = stored(components(links), "labels")
+    edges = _verified(texts, nodes, star.unionByName(inner), levels, size, percent)
+    labels = stored(components(edges), "labels")
 
     # Rest round.
     rest = _met(*_open(runs, nodes, labels), nodes.select("node", "bits"), percent).groupBy(
@@ -684,8 +684,8 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", s
         _enough(percent))
     more = _verified(texts, nodes, rest, levels, size, percent)
     if more.limit(1).count():
-        links = links.unionByName(more)
-        labels = stored(components(links), "labels")
+        edges = edges.unionByName(more)
+        labels = stored(components(edges), "labels")
 
     ids = nodes.join(labels, "node").groupBy("label").agg(F.min("doc").alias("least"))
     known = nodes.join(labels, "node", "left").join(ids, "label", "left").select(
