@@ -94,11 +94,23 @@ def trimmed(run: Callable, name: str | None = None) -> Callable:
     return wrapped
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write a table to the shared folder and read it back: cuts the lineage, outlives executors."""
+    """Write a table to the shared folder and read it back: cuts the lineage, outlives executors.
+    Spark removes the shuffle files of the write at its end, as nothing reads them again."""
     spark = df.sparkSession
     path = os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
-    df.write.parquet(path)
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEANUP)
+        else:
+            spark.conf.set(_CLEANUP, before)
     _WRITTEN.append(path)
     return spark.read.schema(df.schema).parquet(path)
 

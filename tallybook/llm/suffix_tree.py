@@ -33,14 +33,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallybook.llm import words
-from tallybook.llm.frames import (BLOCKS, bucket_slices, buckets_for, freed, once, pack, stored,
-                                  to_blocks, unpack, with_answers, without)
+from tallybook.llm.frames import (BLOCKS, bucket_slices, buckets_for, freed, once, pack, release,
+                                  stored, to_blocks, unpack, with_answers, without, written)
 
 U64 = np.uint64
 DEPTH = 6
 LEAST_COUNT = 16
 DIVERGENCE = 12.0
-BLOCK_BYTES = 12 << 20
+BLOCK_BYTES = 8 << 20
 # Entries that are gathered before they are added up.
 GATHERED = 1 << 20
 _BLANK, _END = 32, 10
@@ -374,13 +374,19 @@ def _valued(table: DataFrame, n_buckets: int) -> DataFrame:
                          "payload": pa.array([pack(value[words.lookup(key, k)]) for k in own],
                                              pa.binary())})
 
+    # Each step is written, and what it was made of deleted, so that no two of them take up disk
+    # and workers at a time.
+    spark, start = table.sparkSession, written()
     asked = table.filter("kind = 'context'")
-    sums = asked.groupBy("bucket").applyInArrow(
-        freed(add), "root long, bucket long, payload binary")
-    values = sums.groupBy("root").applyInArrow(
-        freed(grow), "bucket long, root long, payload binary")
-    return asked.groupBy("bucket").cogroup(values.groupBy("bucket")).applyInArrow(
-        freed(answer), BLOCKS)
+    sums = stored(asked.groupBy("bucket").applyInArrow(
+        freed(add), "root long, bucket long, payload binary"), "context-sums")
+    values = stored(sums.groupBy("root").applyInArrow(
+        freed(grow), "bucket long, root long, payload binary"), "context-values")
+    release(spark, start, keep=values)
+    answers = stored(asked.groupBy("bucket").cogroup(values.groupBy("bucket")).applyInArrow(
+        freed(answer), BLOCKS), "context-answers")
+    release(spark, start, keep=answers)
+    return answers
 
 
 def score(df: DataFrame, learn: str, text: str = "text", prior: float = 0.1) -> DataFrame:
