@@ -95,24 +95,46 @@ def trimmed(run: Callable, name: str | None = None) -> Callable:
 
 
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+# Writers a task may have open, so that rows need no sort by the column that keeps them apart.
+_WRITERS, _OPEN = "spark.sql.maxConcurrentOutputFileWriters", 16
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+@contextlib.contextmanager
+def _configured(spark: SparkSession, **values: str) -> Iterator[None]:
+    """Settings of the session for a while."""
+    names = {"cleanup": _CLEANUP, "writers": _WRITERS}
+    before = {names[k]: spark.conf.get(names[k], None) for k in values}
+    for key, value in values.items():
+        spark.conf.set(names[key], value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
+
+
+def stored(df: DataFrame, name: str, apart: str | None = None) -> DataFrame:
     """Write a table to the shared folder and read it back: cuts the lineage, outlives executors.
-    Spark removes the shuffle files of the write at its end, as nothing reads them again."""
+    Spark removes the shuffle files of the write at its end, as nothing reads them again. Values of
+    the column ``apart``, a few, get folders of their own, which ``release_part`` can delete."""
     spark = df.sparkSession
     path = os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
-    before = spark.conf.get(_CLEANUP, None)
-    spark.conf.set(_CLEANUP, "true")
-    try:
-        df.write.parquet(path)
-    finally:
-        if before is None:
-            spark.conf.unset(_CLEANUP)
-        else:
-            spark.conf.set(_CLEANUP, before)
+    with _configured(spark, cleanup="true", writers=str(_OPEN if apart else 0)):
+        (df.write.partitionBy(apart) if apart else df.write).parquet(path)
     _WRITTEN.append(path)
-    return spark.read.schema(df.schema).parquet(path)
+    found = spark.read.schema(df.schema).parquet(path)
+    return found.select(*df.columns) if apart else found
+
+
+def release_part(df: DataFrame, column: str, value: str) -> None:
+    """Delete the rows of one value from a table that was ``stored`` apart by a column, once
+    nothing reads them any more."""
+    for path in _WRITTEN:
+        if any(f"/{os.path.basename(path)}/" in f for f in df.inputFiles()[:1]):
+            remove_path(df.sparkSession, os.path.join(path, f"{column}={value}"))
 
 
 # Tables that ``stored`` has written, oldest first.
@@ -127,9 +149,9 @@ def written() -> int:
 def release(spark: SparkSession, since: int, keep: DataFrame | None = None) -> None:
     """Delete the tables written since a mark, once what was made of them is written too. ``keep``
     is a table that ``stored`` gave, which stays."""
-    kept = {os.path.basename(os.path.dirname(f)) for f in keep.inputFiles()} if keep else set()
+    kept = keep.inputFiles()[:1] if keep else []
     for path in _WRITTEN[since:]:
-        if os.path.basename(path) not in kept:
+        if not any(f"/{os.path.basename(path)}/" in f for f in kept):
             remove_path(spark, path)
             _WRITTEN.remove(path)
 
@@ -253,11 +275,12 @@ def _gathered(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.Reco
             yield whole[0]
 
 
-def to_blocks(df: DataFrame, ask: Ask, name: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def to_blocks(df: DataFrame, ask: Ask, name: str, block_bytes: int = BLOCK_BYTES,
+              apart: str | None = None) -> DataFrame:
     """Rows of ``df`` as blocks in a written table, with what ``ask`` wants to know.
 
     ``ask(batch)`` yields (kind, bucket, payload). Result: kind, block, bucket, payload; kind
-    ``block`` has the rows themselves."""
+    ``block`` has the rows themselves. ``apart`` is that of ``stored``."""
     prepare(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -268,7 +291,7 @@ def to_blocks(df: DataFrame, ask: Ask, name: str, block_bytes: int = BLOCK_BYTES
             if asked:
                 yield rows(asked)
 
-    return stored(df.mapInArrow(trimmed(run), BLOCKS), name)
+    return stored(df.mapInArrow(trimmed(run), BLOCKS), name, apart)
 
 
 def rows(values: list[tuple[str, str, int | None, bytes]]) -> pa.RecordBatch:

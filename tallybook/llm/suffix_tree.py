@@ -34,7 +34,8 @@ from pyspark.sql import types as T
 
 from tallybook.llm import words
 from tallybook.llm.frames import (BLOCKS, bucket_slices, buckets_for, freed, once, pack, release,
-                                  stored, to_blocks, unpack, with_answers, without, written)
+                                  release_part, stored, to_blocks, unpack, with_answers, without,
+                                  written)
 
 U64 = np.uint64
 DEPTH = 6
@@ -386,6 +387,7 @@ def _valued(table: DataFrame, n_buckets: int) -> DataFrame:
     answers = stored(asked.groupBy("bucket").cogroup(values.groupBy("bucket")).applyInArrow(
         freed(answer), BLOCKS), "context-answers")
     release(spark, start, keep=answers)
+    release_part(table, "kind", "context")
     return answers
 
 
@@ -403,7 +405,7 @@ def score(df: DataFrame, learn: str, text: str = "text", prior: float = 0.1) ->
     def ask(batch: pa.RecordBatch) -> Iterable[tuple[str, int, bytes]]:
         return _asks(batch, text, learn, n_buckets)
 
-    table = to_blocks(df, ask, "scoring", BLOCK_BYTES)
+    table = to_blocks(df, ask, "scoring", BLOCK_BYTES, "kind")
     answers = stored(table.filter("kind = 'word'").groupBy("bucket").applyInArrow(
         freed(_counts), BLOCKS), "word-counts")
     sums = {r["kind"]: r["n"] for r in answers.filter("kind <> 'answer'").unionByName(
