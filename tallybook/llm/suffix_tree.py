@@ -410,6 +410,7 @@ def score(df: DataFrame, learn: str, text: str = "text", prior: float = 0.1) ->
         freed(_counts), BLOCKS), "word-counts")
     sums = {r["kind"]: r["n"] for r in answers.filter("kind <> 'answer'").unionByName(
         table.filter("kind = 'ends'")).groupBy("kind").agg(F.sum("bucket").alias("n")).collect()}
+    release_part(table, "kind", "word")
     ends = sums.get("ends") or 0
     total = (sums.get("tokens") or 0) + ends
     distinct = (sums.get("known") or 0) + (ends > 0)
