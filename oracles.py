@@ -569,6 +569,15 @@ SQL |= {
         WHERE year(DateIn) = 2024 AND month(DateIn) = 3""",
     "period_counts_months": f"""{_MONTHS} SELECT strftime(DateIn, '%Y-%m') AS period,
         count(*) AS count FROM months GROUP BY 1""",
+    "telegram_summary": f"""{_MONTHS}, keyed AS (SELECT CAST(year(DateIn) AS INTEGER) AS year,
+          CAST(month(DateIn) AS INTEGER) AS month, Source, CAST(hour(DateIn) AS INTEGER) AS hour,
+          CASE WHEN {HANDLED} THEN {MINUTES} END AS minutes FROM months)
+        SELECT CASE WHEN grouping(year) = 0 THEN 'month' WHEN grouping(Source) = 0 THEN 'source'
+            WHEN grouping(hour) = 0 THEN 'hour' ELSE 'total' END AS part,
+          year, month, Source, hour, count(*) AS count, count(minutes) AS handled,
+          round(avg(minutes), 6) AS avg_min, round(min(minutes), 6) AS min_min,
+          round(max(minutes), 6) AS max_min
+        FROM keyed GROUP BY GROUPING SETS ((), (year, month), (Source), (hour))""",
     "csv_good": f"WITH {CORE} {_good('core')}",
     "csv_new_files": f"{PAIR} {_good('core')} UNION ALL {_good('card')}",
     "csv_rejected": f"""WITH {CORE}, keyed AS (

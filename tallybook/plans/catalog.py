@@ -380,6 +380,15 @@ def minutes_fractional(t: Tables) -> DataFrame:
     return rounded(telegrams.handling_minutes(t.telegrams), "avg_min", "min_min", "max_min")
 
 
+def telegram_summary(t: Tables) -> DataFrame:
+    """The analysis pack's counts and handling times over several months, from one scan."""
+    found = telegrams.summary(feeds.telegrams_of_months(t.read("events")))
+    return found.select("part", "year", "month", "Source", "hour", "count", "handled",
+                        *[F.round(c, 6).alias(name) for c, name in zip(
+                            telegrams.summary_minutes(), ("avg_min", "min_min", "max_min"),
+                            strict=True)])
+
+
 def minutes_whole(t: Tables) -> DataFrame:
     return rounded(telegrams.handling_minutes(t.telegrams, fractional=False), "avg_min")
 
@@ -640,6 +649,7 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "month_rows_stored": month_rows_stored,
     "period_counts_months": lambda t: telegrams.per_period(
         feeds.telegrams_of_months(t.read("events"))),
+    "telegram_summary": telegram_summary,
     "csv_good": csv_good,
     "csv_rejected": csv_rejected,
     "csv_new_files": csv_new_files,

@@ -121,6 +121,21 @@ def test_csv_load(spark, tmp_path):
     assert audit["sample"].count() == 1
 
 
+def test_telegram_summary_of_odd_rows(spark):
+    at = datetime(2024, 1, 1, 3)
+    rows = [(1, 1, None, 1, None, at, "b"), (2, 1, None, 1, at, None, "b"),
+            (2, 1, 5, 1, at, at, "b"), (2, 1, 5, 1, at, at, "b")]
+    pack = jobs.telegram_analysis(spark.createDataFrame(rows, TELEGRAMS))
+    assert [tuple(r) for r in pack["per_month"].collect()] == [(None, None, 1), (2024, 1, 3)]
+    assert [tuple(r) for r in pack["top_sources"].collect()] == [(None, 2), (5, 2)]
+    assert tuple(pack["busiest_hour"].first()) == (3, 3)
+    assert [tuple(r) for r in pack["handling_per_source"].collect()] == [(5, 0.0, 0.0, 0.0, 2)]
+    nothing = jobs.telegram_analysis(spark.createDataFrame([], TELEGRAMS))
+    assert nothing["total"].first()["rows"] == 0 and nothing["latest"].count() == 0
+    assert tuple(nothing["handling_minutes"].first()) == (None, None, None)
+    assert nothing["top_sources"].count() == nothing["busiest_hour"].count() == 0
+
+
 def test_telegram_analysis(spark):
     rows = [(i, 1000, i % 3, 1, datetime(2024, 1 + i % 2, 1, i % 5),
              datetime(2024, 1 + i % 2, 1, i % 5, i % 7, 30) if i % 4 else None, "b")
@@ -139,6 +154,15 @@ def test_telegram_analysis(spark):
     latest = pack["latest"].collect()
     assert len(latest) == 10 and latest[0]["DateIn"] == max(r[4] for r in done)
     frame = spark.createDataFrame(rows, TELEGRAMS)
+    separate = {
+        "per_month": telegrams.per_month(frame), "top_sources": telegrams.top_sources(frame),
+        "busiest_hour": telegrams.busiest_hour(frame),
+        "handling_minutes": telegrams.handling_minutes(frame),
+        "handling_per_source": telegrams.handling_per_source(frame)}
+    for name, report in separate.items():
+        assert pack[name].columns == report.columns
+        for one, two in zip(pack[name].collect(), report.collect(), strict=True):
+            assert tuple(one) == pytest.approx(tuple(two))
     assert telegrams.in_month(frame, 2024, 2).count() == 20
     assert telegrams.in_month(frame, 2023, 12).count() == 0
 

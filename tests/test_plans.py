@@ -75,3 +75,8 @@ def test_change_messages_are_parsed_once(spark):
 
 def test_json_messages_need_no_schema_inference(spark, t):
     assert t.messages.select(F.col("value")).schema.simpleString() == "struct<value:string>"
+
+
+def test_telegram_summary_is_one_scan(spark):
+    text = plan(queries()["telegram_summary"](spark, SF))
+    assert len(re.findall(r"FileScan parquet|Scan parquet", text)) == 1
