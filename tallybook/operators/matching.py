@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from tallybook.functions.money import amount_gap, epoch_seconds
 from tallybook.operators.nearest import best_partners
 from tallybook.operators.pairs import EXACT, GROUP
+from tallybook.operators.skew import thin_keys, without
 from tallybook.session import durable
 from tallybook.settings import DEFAULTS, Settings
 
@@ -136,6 +137,22 @@ def _best(primary: DataFrame, secondary: DataFrame, by: list[str],
         pick["date"].alias("secondary_transaction_date"), pick["status"].alias("secondary_status"))
 
 
+def _written(primary: DataFrame, secondary: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both sides, written in one job, since several steps read them."""
+    rows = durable(primary.withColumn("is_primary", F.lit(True)).unionByName(
+        secondary.withColumn("is_primary", F.lit(False))))
+    return (rows.filter("is_primary").drop("is_primary"),
+            rows.filter("not is_primary").drop("is_primary"))
+
+
+def _without_exact(rows: DataFrame, others: DataFrame, by: list[str]) -> DataFrame:
+    """Rows none of whose record's rows agree in the exact key with a row of the other side. The
+    keys tell, so no pair is listed."""
+    keys = [*by, *EXACT]
+    paired = rows.join(thin_keys(others, keys, "record"), keys, "left_semi")
+    return without(rows, paired, [*by, "record"], "amount")
+
+
 def _left_over(rows: DataFrame, pairs: DataFrame, name: str, by: list[str]) -> DataFrame:
     """Rows none of whose record's rows are paired."""
     taken = pairs.select(*by, F.col(f"{name}_record").alias("record")).distinct()
@@ -155,12 +172,12 @@ def outcomes(primary: DataFrame, secondary: DataFrame, strategy: str = "hybrid",
     p, s = _keyed(primary, by), _keyed(secondary, by)
     found = []
     if exact:
+        p, s = _written(p, s)
         found.append(_exact(p, s, by))
-        p, s = (_left_over(x, found[-1], name, by) for x, name in ((p, "primary"),
-                                                                   (s, "secondary")))
+        p, s = _without_exact(p, s, by), _without_exact(s, p, by)
     if fuzzy:
         if exact:
-            p, s = durable(p), durable(s)
+            p, s = _written(p, s)
         found.append(durable(_best(p, s, by, settings)))
         p, s = (_left_over(x, found[-1], name, by) for x, name in ((p, "primary"),
                                                                    (s, "secondary")))

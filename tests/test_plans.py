@@ -5,6 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from tallybook import session
 from tallybook.operators import matching, pairs, reports
 from tallybook.plans.catalog import Tables, queries
 
@@ -80,3 +81,18 @@ def test_json_messages_need_no_schema_inference(spark, t):
 def test_telegram_summary_is_one_scan(spark):
     text = plan(queries()["telegram_summary"](spark, SF))
     assert len(re.findall(r"FileScan parquet|Scan parquet", text)) == 1
+
+
+def test_matching_reads_each_feed_once(t, monkeypatch):
+    written = []
+
+    def noted(df):
+        written.append(plan(df))
+        return session.durable(df)
+
+    monkeypatch.setattr(matching, "durable", noted)
+    rows = matching.outcomes(t.core, t.second())
+    texts = [*written, plan(rows)]
+    assert sum(len(re.findall(r"FileScan parquet|Scan parquet", x)) for x in texts) == len(
+        re.findall(r"FileScan parquet|Scan parquet", plan(t.core.unionByName(t.second()))))
+    assert not re.findall(r"FileScan parquet|Scan parquet", texts[-1])
