@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallybook.functions.money import sum_or_zero
 from tallybook.operators.results import RESULT_COLUMNS
 
 INTERVALS = ("day", "week", "month")
+STATUSES = ("MATCHED", "PARTIAL", "UNMATCHED")
 
 
 def _totals() -> list[Column]:
@@ -28,7 +29,25 @@ def discrepancies(results: DataFrame) -> DataFrame:
 def _status_counts() -> list[Column]:
     status = F.col("match_status")
     return [F.count_if(status == word).alias(f"{word.lower()}_count")
-            for word in ("MATCHED", "PARTIAL", "UNMATCHED")]
+            for word in STATUSES]
+
+
+def summary_metrics() -> list[Column]:
+    """What ``summary`` says of one batch as columns of a single row, to be observed while the
+    results are written."""
+    amount = F.col("discrepancy_amount")
+    return [*_status_counts(),
+            *[sum_or_zero(F.when(F.col("match_status") == word, amount)).alias(
+                f"{word.lower()}_amount") for word in STATUSES]]
+
+
+def observed_summary(spark: SparkSession, batch_id: str, seen: dict) -> DataFrame:
+    """The rows of ``summary`` from observed metrics; a status that no result has gives none."""
+    rows = [(batch_id, word, seen[f"{word.lower()}_count"], seen[f"{word.lower()}_amount"])
+            for word in STATUSES if seen.get(f"{word.lower()}_count")]
+    return spark.createDataFrame(
+        rows, "batch_id string, match_status string, count long, "
+              "total_discrepancy_amount decimal(28,2)")
 
 
 def batch_stats(results: DataFrame) -> DataFrame:

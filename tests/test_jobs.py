@@ -1,11 +1,12 @@
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
-from tallybook.operators import matching, telegrams
+from tallybook.operators import matching, reports, telegrams
 from tallybook.plans import jobs
-from tallybook.schemas import TELEGRAMS
+from tallybook.schemas import RESULTS, TELEGRAMS
 from tallybook.sources.store import Store
 from tests import fixtures as fx
 
@@ -48,6 +49,32 @@ def test_run_records_batch_results_and_reports(spark, store, run):
         int(r["count"]) for r in report.filter("match_status = 'MATCHED'").collect())
 
 
+def test_summary_is_observed_on_the_way(spark, store, run, tmp_path):
+    written = store.read(spark, "reconciliation_results").filter("batch_id = 'RECON-1'")
+    told = reports.summary(written)
+    asked = []
+
+    def watch(rows):
+        seen = Observation()
+        asked.append(seen)
+        return rows.observe(seen, *reports.summary_metrics())
+
+    Store(str(tmp_path / "copy")).replace_results(written, "RECON-1", watch)
+    seen = reports.observed_summary(spark, "RECON-1", asked[0].get)
+    assert seen.schema.simpleString() == told.schema.simpleString()
+    assert sorted(map(tuple, seen.collect())) == sorted(map(tuple, told.collect()))
+    report = spark.read.option("header", True).csv(store.path("reports") + "/RECON-1_summary")
+    assert sorted((r[1], r[2], r[3]) for r in report.collect()) == sorted(
+        (r[1], str(r[2]), str(r[3])) for r in told.collect())
+
+
+def test_nothing_observed_gives_no_summary(spark, tmp_path):
+    st, seen = Store(str(tmp_path / "empty")), Observation()
+    none = spark.createDataFrame([], RESULTS)
+    st.replace_results(none, "none", lambda rows: rows.observe(seen, *reports.summary_metrics()))
+    assert reports.observed_summary(spark, "none", seen.get).count() == 0
+
+
 def test_repeated_run_replaces_its_results(spark, store, run):
     before = sorted(r[0] for r in store.read(spark, "reconciliation_results").select(
         "reconciliation_id").collect())
