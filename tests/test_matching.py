@@ -147,6 +147,27 @@ def test_repeated_and_missing_ids(spark, route):
         (None, None, "R", "SECONDARY_ONLY")], key=str)
 
 
+def test_left_overs_by_counted_records(spark):
+    """Rows that repeat, lack an id or a key, and records of which only some rows are paired."""
+    def rows(*found):
+        return spark.createDataFrame(
+            [(b, a, "fee", Decimal(n), "done", i, None) for b, i, a, n in found],
+            "system string, account_id string, transaction_type string, amount decimal(18,2), "
+            "status string, transaction_id string, transaction_date timestamp_ntz")
+
+    mine = rows(("x", "1", "A", "1"), ("x", "1", "A", "2"), ("x", "2", "A", "2"),
+                ("x", "2", "A", "2"), ("y", "1", "A", "2"), ("x", None, "A", "1"),
+                ("x", None, "A", "3"), ("x", None, "A", "3"), ("x", "3", None, "1"),
+                ("x", "3", "A", "1"), (None, "4", "A", "1"), ("x", "5", None, "1"))
+    others = rows(("x", "9", "A", "1"), ("x", "9", "A", "1"), ("x", None, None, "1"),
+                  (None, "4", "A", "1"))
+    found = matching._without_exact(mine, others, ["system"]).select(
+        "system", "transaction_id", "account_id", F.col("amount").cast("int")).collect()
+    assert sorted(map(tuple, found), key=str) == sorted([
+        ("x", "2", "A", 2), ("x", "2", "A", 2), ("y", "1", "A", 2), ("x", None, "A", 3),
+        ("x", None, "A", 3), (None, "4", "A", 1), ("x", "5", None, 1)], key=str)
+
+
 def test_distributed_rank(spark):
     rows = [("g" if i % 3 else "h", f"{i:05d}") for i in range(999)]
     df = spark.createDataFrame(rows, "g string, id string").repartition(7)

@@ -96,3 +96,28 @@ def test_matching_reads_each_feed_once(t, monkeypatch):
     assert sum(len(re.findall(r"FileScan parquet|Scan parquet", x)) for x in texts) == len(
         re.findall(r"FileScan parquet|Scan parquet", plan(t.core.unionByName(t.second()))))
     assert not re.findall(r"FileScan parquet|Scan parquet", texts[-1])
+
+
+def test_left_overs_take_one_exchange_of_each_side(t, monkeypatch):
+    """The rows cross the network by the exact key once; their records are counted, and only what
+    is left goes by record. No written row carries its id twice or is read for the other side."""
+    written = []
+
+    def noted(df):
+        written.append((df.columns, plan(df)))
+        return session.durable(df)
+
+    monkeypatch.setattr(matching, "durable", noted)
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = t.spark.conf.get(key)
+    t.spark.conf.set(key, "-1")
+    try:
+        matching.outcomes(t.core, t.second())
+    finally:
+        t.spark.conf.set(key, before)
+    assert [c for c, _ in written[:2]] == [matching.NARROW] * 2
+    assert all("is_primary" not in text for _, text in written)
+    # Up to the fuzzy phase: the rows and keys of either side, then the counts and what is left.
+    at = next(i for i, (columns, _) in enumerate(written) if "pick" in columns)
+    exchanges = [len(re.findall(r"Exchange hashpartitioning", text)) for _, text in written[:at]]
+    assert sorted(exchanges) == [0, 0, 2, 2, 2, 2]
