@@ -35,6 +35,12 @@ def test_rules_take_three_joins(spark):
     assert len(re.findall(r"Scan parquet", text)) <= 6
 
 
+def test_pairs_of_an_amount_band_are_spread_by_cell(spark):
+    text = plan(queries()["rule_amount_skewed"](spark, SF))
+    assert "BroadcastHashJoin" not in text
+    assert re.findall(r"SortMergeJoin \[account_id#\d+, transaction_type#\d+, amount_cell#\d+L?\]", text)
+
+
 def test_matching_reads_only_what_it_needs(t):
     text = plan(pairs.exact_pairs(t.core, t.second()))
     for schema in re.findall(r"ReadSchema: struct<([^>]*)>", text):
